@@ -1,0 +1,7 @@
+"""Streaming.
+
+The reference is batch only: it has no stream source, watermark, event-time
+window or state. Time appears only as static filters, recency top-n and the
+trend threshold, all of which are batch operators here. Nothing is built in
+this package on purpose (see README).
+"""
