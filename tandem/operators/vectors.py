@@ -43,10 +43,10 @@ def _block_topk(k: int):
             return pd.DataFrame({"qid": pd.Series([], dtype="int64"),
                                  "item_id": pd.Series([], dtype="int64"),
                                  "score": pd.Series([], dtype="float64")})
-        it = it.sort_values("id", kind="stable")
-        qm = np.stack(q["features"].to_numpy()).astype(np.float64)
-        im = np.stack(it["features"].to_numpy()).astype(np.float64)
-        ids = it["id"].to_numpy(dtype=np.int64)
+        it = it.sort_values("_iid", kind="stable")
+        qm = np.stack(q["_qf"].to_numpy()).astype(np.float64)
+        im = np.stack(it["_if"].to_numpy()).astype(np.float64)
+        ids = it["_iid"].to_numpy(dtype=np.int64)
         scores = qm @ im.T
         kk = min(k, len(ids))
         # stable sort on -score keeps the smaller id first among ties
@@ -75,10 +75,10 @@ def topk_inner_product(queries: DataFrame, items: DataFrame, k: int,
         return q.sparkSession.createDataFrame([], TOPK_SCHEMA)
     n_qb = max(1, math.ceil(nq / query_block_rows))
     n_ib = max(1, math.ceil(ni / item_block_rows))
-    qb = q.select("qid", "features",
+    qb = q.select("qid", F.col("features").alias("_qf"),
                   F.pmod(F.xxhash64("qid"), F.lit(n_qb)).alias("_qb"),
                   F.explode(F.sequence(F.lit(0), F.lit(n_ib - 1))).alias("_ib"))
-    ib = items.select("id", "features",
+    ib = items.select(F.col("id").alias("_iid"), F.col("features").alias("_if"),
                       F.pmod(F.xxhash64("id"), F.lit(n_ib)).alias("_ib"),
                       F.explode(F.sequence(F.lit(0), F.lit(n_qb - 1))).alias("_qb"))
     local = (qb.groupBy("_qb", "_ib").cogroup(ib.groupBy("_qb", "_ib"))

@@ -525,14 +525,14 @@ ds AS (SELECT c.uid, c.item_id, CAST(CASE WHEN tg.uid IS NULL THEN 0 ELSE 1 END
   round(CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM train), 6) AS recall
   FROM top t JOIN train r ON r.uid = t.uid AND r.item_id = t.item_id"""),
     "submission": _with(*merged_ctes(), _TOP_CANDS, body=_submission_body("train_users")),
-    "vector_topk_join": f"""SELECT qid, item_id, round(score, 4) AS score FROM (
+    "vector_topk_join": f"""SELECT qid, item_id, round(score, 4) + 0.0 AS score FROM (
   SELECT qid, item_id, score, row_number() OVER (PARTITION BY qid ORDER BY score DESC, item_id) AS rn FROM (
     SELECT a.vec_id AS qid, b.vec_id AS item_id, {_vec_dot('a', 'b')} AS score
     FROM embeddings a CROSS JOIN embeddings b)) WHERE rn <= {VECTOR_K}""",
     "pair_dot_rank": _with(BASE, _POP_UNSEEN, f"""d AS (SELECT c.uid, c.item_id,
   coalesce({_vec_dot('ue', 'ie')}, 0.0) AS als_dot FROM cands c
   LEFT JOIN embeddings ue ON ue.vec_id = c.uid LEFT JOIN embeddings ie ON ie.vec_id = c.item_id)""",
-                           body="""SELECT uid, item_id, round(als_dot, 4) AS als_dot,
+                           body="""SELECT uid, item_id, round(als_dot, 4) + 0.0 AS als_dot,
   rank() OVER (PARTITION BY uid ORDER BY als_dot DESC) AS als_rank FROM d"""),
     "ease_gram": _with(BASE, f"""top AS (SELECT item_id FROM likes GROUP BY item_id ORDER BY count(*) DESC, item_id
   LIMIT {EASE_TOP_K_ITEMS}),
