@@ -76,11 +76,13 @@ def topk_inner_product(queries: DataFrame, items: DataFrame, k: int,
     n_qb = max(1, math.ceil(nq / query_block_rows))
     n_ib = max(1, math.ceil(ni / item_block_rows))
     qb = q.select("qid", F.col("features").alias("_qf"),
-                  F.pmod(F.xxhash64("qid"), F.lit(n_qb)).alias("_qb"),
-                  F.explode(F.sequence(F.lit(0), F.lit(n_ib - 1))).alias("_ib"))
+                  F.pmod(F.xxhash64("qid"), F.lit(n_qb)).cast("int").alias("_qb"),
+                  F.explode(F.sequence(F.lit(0), F.lit(n_ib - 1)).cast("array<int>")).alias("_ib"))
     ib = items.select(F.col("id").alias("_iid"), F.col("features").alias("_if"),
-                      F.pmod(F.xxhash64("id"), F.lit(n_ib)).alias("_ib"),
-                      F.explode(F.sequence(F.lit(0), F.lit(n_qb - 1))).alias("_qb"))
+                      F.pmod(F.xxhash64("id"), F.lit(n_ib)).cast("int").alias("_ib"),
+                      F.explode(F.sequence(F.lit(0), F.lit(n_qb - 1)).cast("array<int>")).alias("_qb"))
+    # both sides must group on identically typed keys (int) or the cogroup
+    # hashes them to different partitions
     local = (qb.groupBy("_qb", "_ib").cogroup(ib.groupBy("_qb", "_ib"))
              .applyInPandas(_block_topk(k), TOPK_SCHEMA))
     if n_ib == 1:
