@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tandem.operators.interactions import pair_counts
+from tandem.operators.joins import bounded_broadcast
 from tandem.operators.topk import recent_per_user, top_n_per_group, top_score_per_user
 
 
@@ -34,8 +35,12 @@ def upper_pairs(counts: DataFrame) -> DataFrame:
 
 
 def mirror(pairs: DataFrame) -> DataFrame:
-    return pairs.unionByName(pairs.select(F.col("item_j").alias("item_i"),
-                                          F.col("item_i").alias("item_j"), "w"))
+    """(i, j, w) -> (i, j, w) and (j, i, w) in one pass (no self-union, so
+    the pair aggregation is computed once)."""
+    both = F.array(F.struct(F.col("item_i").alias("a"), F.col("item_j").alias("b")),
+                   F.struct(F.col("item_j").alias("a"), F.col("item_i").alias("b")))
+    return (pairs.select(F.explode(both).alias("_p"), "w")
+            .select(F.col("_p.a").alias("item_i"), F.col("_p.b").alias("item_j"), "w"))
 
 
 def cooccurrence(likes: DataFrame, counts: DataFrame | None = None) -> DataFrame:
@@ -50,12 +55,19 @@ def sparsify(pairs: DataFrame, top_k: int) -> DataFrame:
 
 
 def covisitation_scores(history: DataFrame, similarity: DataFrame, users: DataFrame | None,
-                        history_depth: int, num_candidates: int) -> DataFrame:
+                        history_depth: int, num_candidates: int,
+                        broadcast_rows: int = 5_000_000) -> DataFrame:
     """M8: score(u, j) = sum over the user's ``history_depth`` newest likes
-    (repeats count) of ``S[item, j]``; top ``num_candidates`` per user."""
+    (repeats count) of ``S[item, j]``; top ``num_candidates`` per user.
+
+    S has at most ``top_k`` rows per item. When it is proven small it is
+    broadcast: the join then runs inside the uid-partitioned recency stage and
+    the (uid, item) sum and the per-user top-n need no further shuffle.
+    Otherwise it is a shuffle join on the item (AQE splits hot items).
+    """
     h = history if users is None else history.join(users, "uid", "left_semi")
     recent = recent_per_user(h, history_depth).select("uid", F.col("item_id").alias("item_i"))
-    scored = (recent.join(similarity, "item_i")
+    scored = (recent.join(bounded_broadcast(similarity, broadcast_rows), "item_i")
               .groupBy("uid", F.col("item_j").alias("item_id"))
               .agg(F.sum("w").cast("double").alias("score")))
     return top_score_per_user(scored, num_candidates)

@@ -23,7 +23,7 @@ from tandem.operators.similarity import cooccurrence, covisitation_scores, spars
 from tandem.operators.topk import (average_rank_filter, dedupe_max, global_top_n, recent_per_user,
                                    top_score_per_user)
 from tandem.operators.vectors import topk_inner_product
-from tandem.sources.io import FittedStore
+from tandem.sources.io import FittedStore, materialise
 
 
 def _tag(df: DataFrame, name: str) -> DataFrame:
@@ -39,7 +39,9 @@ class CandidateGenerator(ABC):
 
     def _fitted(self, table: str, build, force: bool = False) -> DataFrame:
         if self.store is None:
-            return build()
+            # fitted tables are reused by every user: materialise them once in
+            # the shared checkpoint folder (lineage cut, cheap size probes)
+            return materialise(build())
         return self.store.fit_or_load(self.name, table, build, force)
 
     @abstractmethod

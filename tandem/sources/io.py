@@ -54,6 +54,14 @@ def write_submission(df: DataFrame, path: str) -> None:
      .write.mode("overwrite").option("header", True).csv(path))
 
 
+def materialise(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once into the session's checkpoint folder (reliable
+    checkpoint: survives executor loss, unlike a local checkpoint)."""
+    from tandem.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     """True when a completed Spark write is at ``path`` (``_SUCCESS`` marker)."""
     jvm = spark.sparkContext._jvm
