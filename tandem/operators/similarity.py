@@ -9,10 +9,10 @@ Only the upper triangle ``i < j`` is joined and aggregated, then mirrored,
 which halves the join output. Each task pre-aggregates its pairs
 (partial hash aggregate) before the shuffle on ``(item_i, item_j)``.
 
-Skew: a user's pair count is quadratic in their item count. The self-join is
-a sort-merge join on ``uid`` and AQE's skew-join rule splits a hot user's
-partition on both sides into chunks (an L x R grid of tasks), so a user
-holding a third of the data is processed by many tasks, not one.
+Skew: a user's pair count is quadratic in their item count, so hot users are
+salted explicitly (``_salted_sides``): their items are spread over up to
+``max_salt`` join keys ``(uid, salt)`` and only their rows are replicated.
+A user holding a third of the data is processed by many tasks, not one.
 """
 
 from __future__ import annotations
@@ -25,11 +25,43 @@ from tandem.operators.joins import bounded_broadcast
 from tandem.operators.topk import recent_per_user, top_n_per_group, top_score_per_user
 
 
-def upper_pairs(counts: DataFrame) -> DataFrame:
-    """(item_i < item_j, w) from a ``(uid, item_id, n)`` table."""
-    a = counts.select("uid", F.col("item_id").alias("item_i"), F.col("n").alias("n_i"))
-    b = counts.select("uid", F.col("item_id").alias("item_j"), F.col("n").alias("n_j"))
-    return (a.join(b, "uid").where(F.col("item_i") < F.col("item_j"))
+def _salted_sides(counts: DataFrame, heavy_items: int, max_salt: int,
+                  broadcast_rows: int = 1_000_000):
+    """Split hot users for the self-join.
+
+    A user with ``h > heavy_items`` distinct items gets ``s = min(max_salt,
+    ceil(h / heavy_items))`` salt buckets: the left side's items are hashed
+    into one bucket each, the right side is replicated into all ``s``
+    buckets, and the join key is ``(uid, salt)``. Every pair is still made
+    exactly once, but a hot user's quadratic work is spread over ``s`` tasks
+    instead of one. Only hot users are replicated; their list comes from a
+    pre-aggregated per-user count and is broadcast when proven small.
+    """
+    sizes = counts.groupBy("uid").agg(F.count(F.lit(1)).alias("_h")).where(F.col("_h") > heavy_items)
+    hot = sizes.select("uid", F.least(F.lit(max_salt), F.ceil(F.col("_h") / F.lit(heavy_items)))
+                       .cast("int").alias("_s"))
+    with_s = (counts.join(bounded_broadcast(hot, broadcast_rows), "uid", "left")
+              .withColumn("_s", F.coalesce("_s", F.lit(1))))
+    a = with_s.select("uid", F.col("item_id").alias("item_i"), F.col("n").alias("n_i"),
+                      F.pmod(F.xxhash64("item_id"), F.col("_s")).cast("int").alias("_salt"))
+    b = with_s.select("uid", F.col("item_id").alias("item_j"), F.col("n").alias("n_j"),
+                      F.explode(F.sequence(F.lit(0), F.col("_s") - 1)).alias("_salt"))
+    return a, b
+
+
+def upper_pairs(counts: DataFrame, heavy_items: int = 2000, max_salt: int = 64) -> DataFrame:
+    """(item_i < item_j, w) from a ``(uid, item_id, n)`` table.
+
+    ``heavy_items``/``max_salt`` control the hot-user split (see
+    ``_salted_sides``); ``max_salt=1`` turns it off."""
+    if max_salt > 1:
+        a, b = _salted_sides(counts, heavy_items, max_salt)
+        keys = ["uid", "_salt"]
+    else:
+        a = counts.select("uid", F.col("item_id").alias("item_i"), F.col("n").alias("n_i"))
+        b = counts.select("uid", F.col("item_id").alias("item_j"), F.col("n").alias("n_j"))
+        keys = ["uid"]
+    return (a.join(b, keys).where(F.col("item_i") < F.col("item_j"))
             .groupBy("item_i", "item_j")
             .agg(F.sum(F.col("n_i") * F.col("n_j")).alias("w")))
 
