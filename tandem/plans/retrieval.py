@@ -141,7 +141,10 @@ class Ease(CandidateGenerator):
 
     def fit(self, history, force=False):
         path = self.store.path(self.name, "model") if self.store is not None else None
-        self.model = ease_ops.fit(history, self.top_k_items, self.l2_reg, path=path, **self.solver)
+        if path and not force and self.store.exists(self.name, "model/weights"):
+            self.model = ease_ops.load(history.sparkSession, path)
+        else:
+            self.model = ease_ops.fit(history, self.top_k_items, self.l2_reg, path=path, **self.solver)
         return self
 
     def generate(self, users, history, num_candidates):

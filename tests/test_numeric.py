@@ -130,3 +130,15 @@ def test_submission_csv_roundtrip(spark, tmp_path):
     assert sorted((int(r.uid), r.item_ids or "") for r in back.collect()) == [(1, "10 20"), (2, "")]
     (tmp_path / "users.csv").write_text("uid\n5\n7\n")
     assert rows(read_target_users(spark, str(tmp_path / "users.csv"))) == [(5,), (7,)]
+
+
+def test_ease_store_reuse(spark, likes, tmp_path):
+    from tandem.plans.retrieval import Ease
+    from tandem.sources.io import FittedStore
+    store = FittedStore(spark, str(tmp_path))
+    g = Ease(top_k_items=2, l2_reg=1.0, store=store).fit(likes)
+    assert store.exists("ease", "model/weights")
+    g2 = Ease(top_k_items=2, l2_reg=1.0, store=store).fit(likes)
+    assert g2.model.n_items == 2
+    users = spark.createDataFrame([(1,), (2,)], "uid long")
+    assert rows(g.generate(users, likes, 5), "uid", "item_id") == rows(g2.generate(users, likes, 5), "uid", "item_id")
