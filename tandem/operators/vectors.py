@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from tandem.functions.expressions import dot
 from tandem.operators.topk import min_rank_desc, top_score_per_user
+from tandem.session import ship_package
 
 TOPK_SCHEMA = "qid long, item_id long, score double"
 
@@ -69,6 +70,7 @@ def topk_inner_product(queries: DataFrame, items: DataFrame, k: int,
     ``queries``: (``query_id``, features); ``items``: (id, features).
     Returns (qid, item_id, score).
     """
+    ship_package(queries.sparkSession)
     q = queries.select(F.col(query_id).alias("qid"), "features")
     nq, ni = q.count(), items.count()
     if nq == 0 or ni == 0:
