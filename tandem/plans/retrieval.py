@@ -20,8 +20,8 @@ from tandem.operators import ease as ease_ops
 from tandem.operators.interactions import artist_item_counts, item_counts, user_artist_counts
 from tandem.operators.joins import attach_list, bounded_broadcast
 from tandem.operators.similarity import cooccurrence, covisitation_scores, sparsify
-from tandem.operators.topk import (average_rank_filter, dedupe_max, global_top_n, recent_per_user,
-                                   top_score_per_user)
+from tandem.operators.topk import (average_rank_filter, dedupe_max, global_index, global_top_n,
+                                   recent_per_user, top_score_per_user)
 from tandem.operators.vectors import topk_inner_product
 from tandem.sources.io import FittedStore, materialise
 
@@ -170,6 +170,8 @@ class IALS(CandidateGenerator):
         self.alpha, self.regularization, self.seed = alpha, regularization, seed
         self.checkpoint_interval = checkpoint_interval
         self.user_factors = self.item_factors = None
+        self.user_codes = self.item_codes = None
+        self.encoded = False
         self.model = None
 
     def fit(self, history, force=False):
@@ -178,12 +180,25 @@ class IALS(CandidateGenerator):
         from tandem.session import ensure_checkpoint_dir
 
         ensure_checkpoint_dir(history.sparkSession)
-        mx = history.agg(F.max("uid").alias("u"), F.max("item_id").alias("i")).first()
-        if mx["u"] is not None and max(mx["u"], mx["i"]) > 2**31 - 1:
-            raise ValueError("ALS needs int32 ids; encode ids first (tandem.operators.topk.global_index)")
-        ratings = (history.groupBy("uid", "item_id").agg(F.count(F.lit(1)).alias("n"))
-                   .select(F.col("uid").cast("int").alias("user"), F.col("item_id").cast("int").alias("item"),
-                           (F.lit(self.alpha) * F.col("n") - 1.0).cast("float").alias("rating")))
+        counts = history.groupBy("uid", "item_id").agg(F.count(F.lit(1)).alias("n"))
+        b = history.agg(F.min("uid").alias("u0"), F.max("uid").alias("u1"),
+                        F.min("item_id").alias("i0"), F.max("item_id").alias("i1")).first()
+        lo, hi = -(2**31), 2**31 - 1
+        # ALS wants int32 ids: larger ids get dense codes from a distributed
+        # global index (W5); otherwise ids are used as they are
+        self.encoded = b["u0"] is not None and not (lo <= b["u0"] and b["u1"] <= hi and
+                                                    lo <= b["i0"] and b["i1"] <= hi)
+        if self.encoded:
+            self.user_codes = self._fitted("user_codes", lambda: global_index(
+                history.select("uid").distinct(), ["uid"], "code"), force)
+            self.item_codes = self._fitted("item_codes", lambda: global_index(
+                history.select("item_id").distinct(), ["item_id"], "code"), force)
+            coded = (counts.join(self.user_codes.withColumnRenamed("code", "user"), "uid")
+                     .join(self.item_codes.withColumnRenamed("code", "item"), "item_id"))
+        else:
+            coded = counts.withColumn("user", F.col("uid")).withColumn("item", F.col("item_id"))
+        ratings = coded.select(F.col("user").cast("int").alias("user"), F.col("item").cast("int").alias("item"),
+                               (F.lit(self.alpha) * F.col("n") - 1.0).cast("float").alias("rating"))
         als = ALS(rank=self.factors, maxIter=self.iterations, regParam=self.regularization, alpha=1.0,
                   implicitPrefs=True, seed=self.seed, userCol="user", itemCol="item", ratingCol="rating",
                   coldStartStrategy="drop", checkpointInterval=self.checkpoint_interval)
@@ -193,16 +208,33 @@ class IALS(CandidateGenerator):
             self.model = als.fit(ratings)
             if self.store is not None:
                 self.model.write().overwrite().save(self.store.path(self.name, "model"))
-        self.user_factors = self.model.userFactors.select(F.col("id").cast("long"), "features")
-        self.item_factors = self.model.itemFactors.select(F.col("id").cast("long"), "features")
+        self.user_factors = self._decode(self.model.userFactors, "uid")
+        self.item_factors = self._decode(self.model.itemFactors, "item_id")
         return self
 
+    def _decode(self, factors, key):
+        """(code, features) -> (real id, features)."""
+        if not self.encoded:
+            return factors.select(F.col("id").cast("long"), "features")
+        codes = self.user_codes if key == "uid" else self.item_codes
+        return (factors.join(codes.select(F.col("code").cast("int").alias("id"), F.col(key).alias("_real")), "id")
+                .select(F.col("_real").cast("long").alias("id"), "features"))
+
     def generate(self, users, history, num_candidates):
-        known = users.select(F.col("uid").cast("int").alias("user")).join(
-            self.model.userFactors.select(F.col("id").alias("user")), "user", "left_semi")
-        recs = self.model.recommendForUserSubset(known, num_candidates)
-        out = recs.select(F.col("user").cast("long").alias("uid"), F.inline("recommendations"))
-        return _tag(out.select("uid", F.col("item").alias("item_id"), F.col("rating").alias("score")), self.name)
+        u = users.select("uid")
+        if self.encoded:
+            u = u.join(self.user_codes, "uid").select("uid", F.col("code").cast("int").alias("user"))
+        else:
+            u = u.select("uid", F.col("uid").cast("int").alias("user"))
+        known = u.join(self.model.userFactors.select(F.col("id").alias("user")), "user", "left_semi")
+        recs = self.model.recommendForUserSubset(known.select("user"), num_candidates)
+        out = recs.select("user", F.inline("recommendations"))
+        out = out.join(known, "user")
+        if self.encoded:
+            out = out.join(self.item_codes.select(F.col("code").cast("int").alias("item"), "item_id"), "item")
+        else:
+            out = out.withColumn("item_id", F.col("item").cast("long"))
+        return _tag(out.select("uid", "item_id", F.col("rating").alias("score")), self.name)
 
 
 class IALSItemToItem(CandidateGenerator):

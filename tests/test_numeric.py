@@ -142,3 +142,18 @@ def test_ease_store_reuse(spark, likes, tmp_path):
     assert g2.model.n_items == 2
     users = spark.createDataFrame([(1,), (2,)], "uid long")
     assert rows(g.generate(users, likes, 5), "uid", "item_id") == rows(g2.generate(users, likes, 5), "uid", "item_id")
+
+
+@pytest.mark.slow
+def test_ials_large_ids_are_encoded(spark):
+    from tandem.plans.retrieval import IALS
+    big = 3_000_000_000
+    data = [(big + u, big + (u * 7 + k) % 40, k, 1) for u in range(30) for k in range(6)]
+    df = spark.createDataFrame(data, "uid long, item_id long, timestamp long, is_organic int")
+    g = IALS(factors=4, iterations=3).fit(df)
+    assert g.encoded
+    assert g.user_factors.agg(F.min("id")).first()[0] >= big
+    users = spark.createDataFrame([(big + 1,), (big + 2,), (5,)], "uid long")
+    out = g.generate(users, df, 5)
+    assert sorted({r.uid for r in out.collect()}) == [big + 1, big + 2]
+    assert out.agg(F.min("item_id")).first()[0] >= big and out.count() == 10
