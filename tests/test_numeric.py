@@ -157,3 +157,25 @@ def test_ials_large_ids_are_encoded(spark):
     out = g.generate(users, df, 5)
     assert sorted({r.uid for r in out.collect()}) == [big + 1, big + 2]
     assert out.agg(F.min("item_id")).first()[0] >= big and out.count() == 10
+
+
+@pytest.mark.slow
+def test_submitter_and_validate(spark, likes, users, tmp_path):
+    from tandem.plans.dataset import RecPipeline
+    from tandem.plans.features import CandidateSourceCount, FeatureManager, UserStatic
+    from tandem.plans.ranking import fit_ranker, prepare, validate
+    from tandem.plans.retrieval import CoVisitation, GlobalPopularity, RetrievalStage
+    from tandem.plans.submission import Submitter
+    pipe = RecPipeline(RetrievalStage([GlobalPopularity(3), CoVisitation(10, 5)]),
+                       FeatureManager([UserStatic(), CandidateSourceCount()])).fit_all(likes)
+    truth = spark.createDataFrame([(2, 30), (3, 10), (5, 20)], "uid long, item_id long")
+    ds = pipe.create_dataset(users, likes, truth, 10)
+    train, feats = prepare(ds, True, 1.0)
+    ranker = fit_ranker(train, feats, iterations=3, depth=2)
+    r = validate(ranker, ds, truth, 10).first()
+    assert r.truth_rows == 3 and 0 <= r.recall <= 1
+    sub = Submitter(ranker, pipe).create_submission(users, likes, str(tmp_path / "sub"), 10, k=2)
+    got = dict(sub.collect())
+    assert set(got) == {1, 2, 3, 5} and got[1] == "40" and len(got[5].split()) == 2
+    with pytest.raises(ValueError):
+        Submitter(ranker, None).create_submission(users, likes)
