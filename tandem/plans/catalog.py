@@ -28,6 +28,7 @@ from tandem.plans.retrieval import (IALS, ArtistPopularity, CoVisitation, Ease,
                                     IALSItemToItem, RetrievalStage)
 from tandem.plans.submission import format_top_k
 from tandem.sources import testdata as td
+from tandem.sources.io import materialise
 
 # Fixed values (reference defaults)
 TOP_N_POPULAR = 100
@@ -185,13 +186,15 @@ def q_dataset_with_target(spark, sf):
 
 
 def q_coverage_by_generator(spark, sf):
+    # the dataset is read twice (numerator and the user set of the
+    # denominator): materialise it once, as the reference saves it first
     ds, train = _dataset(spark, sf)
-    return coverage_by_generator(ds, train)
+    return coverage_by_generator(materialise(ds), train)
 
 
 def q_coverage_by_flags(spark, sf):
     ds, train = _dataset(spark, sf)
-    return coverage_by_flags(ds, train)
+    return coverage_by_flags(materialise(ds), train)
 
 
 def q_target_counts(spark, sf):
