@@ -115,3 +115,16 @@ def test_empty_inputs(spark):
     stage = RetrievalStage([GlobalPopularity(3), CoVisitation(10, 5)]).fit_all(empty)
     out = stage.fetch_all(users, empty, 10)
     assert out.count() == 0 and "is_covisitation" in out.columns
+
+
+def test_salted_pairs_equal_plain(spark):
+    from tandem.operators.interactions import pair_counts
+    from tandem.operators.similarity import upper_pairs
+    rng = np.random.default_rng(3)
+    data = [(0, int(i)) for i in range(300)] + [(1, int(i)) for i in range(0, 300, 3)] + \
+           [(int(u), int(i)) for u in range(2, 100) for i in rng.choice(300, 4, replace=False)]
+    counts = pair_counts(spark.createDataFrame(data, "uid long, item_id long"))
+    salted = upper_pairs(counts, heavy_items=50, max_salt=8)
+    plain = upper_pairs(counts, max_salt=1)
+    assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
+    assert salted.count() == plain.count() > 0
