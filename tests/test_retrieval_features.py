@@ -128,3 +128,23 @@ def test_salted_pairs_equal_plain(spark):
     plain = upper_pairs(counts, max_salt=1)
     assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
     assert salted.count() == plain.count() > 0
+
+
+def test_empty_inputs_keep_schema(spark, mapping):
+    from tandem.operators.vectors import topk_inner_product
+    from tandem.operators import ease
+    empty = spark.createDataFrame([], "uid long, item_id long, timestamp long, is_organic int")
+    users = spark.createDataFrame([(1,), (2,)], "uid long")
+    cands = spark.createDataFrame([], "uid long, item_id long, score double")
+    fm = FeatureManager([ItemStatic(mapping), UserStatic(), ItemTrend(), UserArtistAffinity(mapping),
+                         ArtistStatic(mapping), CandidateSourceCount()]).fit_all(empty)
+    out = fm.extract(cands, users, empty)
+    assert out.count() == 0
+    assert {"item_cnt_likes", "user_total_likes", "item_trend_ratio", "user_artist_likes_cnt",
+            "artist_total_likes"} <= set(out.columns)
+    sub = dict(format_top_k(cands, users, 5).collect())
+    assert sub == {1: "", 2: ""}
+    vecs = spark.createDataFrame([], "id long, features array<float>")
+    assert topk_inner_product(vecs, vecs, 3).count() == 0
+    with pytest.raises(ValueError):
+        ease.fit(empty, top_k_items=10)
