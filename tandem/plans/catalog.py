@@ -238,9 +238,17 @@ def q_ease_candidates(spark, sf):
     return g.generate(td.target_users(spark, sf), likes, NUM_CANDIDATES)
 
 
+_IALS: dict = {}
+
+
 def _ials(spark, sf):
-    likes = _likes(spark, sf)
-    return IALS().fit(likes), likes
+    """Fit once per (session, data folder); the three ALS queries share it."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _IALS:
+        likes = _likes(spark, sf)
+        _IALS.clear()
+        _IALS[key] = (IALS().fit(likes), likes)
+    return _IALS[key]
 
 
 def q_ials_candidates(spark, sf):
