@@ -88,9 +88,10 @@ def latest_events(df: DataFrame, n: int) -> DataFrame:
 
 
 def dedupe_max(df: DataFrame, keys: Sequence[str], score: str = "score") -> DataFrame:
-    """U4: one row per key with the largest score (deterministic ``unique``)."""
+    """U4: one row per key with the largest score (deterministic ``unique``);
+    other columns come from the best-scored row."""
     others = [c for c in df.columns if c not in keys and c != score]
-    return df.groupBy(*keys).agg(F.max(score).alias(score), *[F.first(c).alias(c) for c in others])
+    return df.groupBy(*keys).agg(F.max(score).alias(score), *[F.max_by(c, score).alias(c) for c in others])
 
 
 def global_index(df: DataFrame, order: Sequence[str], index_col: str = "idx",
