@@ -106,9 +106,13 @@ def global_index(df: DataFrame, order: Sequence[str], index_col: str = "idx",
     spark = df.sparkSession
     n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n_parts, *order).withColumn("_pid", F.spark_partition_id())
-    # Both branches below read the same range exchange (Spark reuses it), so
-    # row numbers and per-range sizes come from one partitioning.
-    w =Window.partitionBy("_pid").orderBy(*order)
+    # Both branches below must see the same ranges (bounds are sampled). Spark
+    # reuses the one range exchange for both; if a cluster turns exchange
+    # reuse off, the ranged rows are checkpointed so both read one copy.
+    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() == "false":
+        from tandem.sources.io import materialise
+        ranged = materialise(ranged)
+    w = Window.partitionBy("_pid").orderBy(*order)
     numbered = ranged.withColumn("_rn", F.row_number().over(w))
     sizes = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     wo = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

@@ -76,3 +76,13 @@ def test_positional_split(likes):
 def test_cap_history(likes):
     out = sampling.cap_history(likes, 1)
     assert rows(out, "uid", "item_id") == [(1, 20), (2, 20), (3, 30), (4, 99)]
+
+
+def test_global_index_without_exchange_reuse(spark):
+    df = spark.range(0, 3000).select((F.col("id") % 31).alias("a"), F.col("id").alias("b"))
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        idx = topk.global_index(df, ["a", "b"], "idx", num_partitions=5)
+        assert idx.agg(F.countDistinct("idx"), F.min("idx"), F.max("idx")).first() == (3000, 0, 2999)
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", "true")
