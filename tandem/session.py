@@ -91,6 +91,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            # a machine-local folder would not survive executor loss
+            raise RuntimeError("set spark.checkpoint.dir to shared storage (e.g. an HDFS/S3 folder)")
         conf_dir = tempfile.mkdtemp(prefix="tandem-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     sc.setCheckpointDir(conf_dir)
