@@ -148,3 +148,22 @@ def test_empty_inputs_keep_schema(spark, mapping):
     assert topk_inner_product(vecs, vecs, 3).count() == 0
     with pytest.raises(ValueError):
         ease.fit(empty, top_k_items=10)
+
+
+def test_dataset_independent_of_shuffle_partitions(spark, likes, mapping, users):
+    def build():
+        hist = likes.where(F.col("timestamp") < 300 * DAY)
+        labels = likes.where(F.col("timestamp") >= 300 * DAY)
+        pipe = RecPipeline(RetrievalStage([GlobalPopularity(3), CoVisitation(100, 30), ArtistPopularity(mapping)]),
+                           FeatureManager([ItemStatic(mapping), UserStatic(), UserArtistAffinity(mapping),
+                                           ArtistStatic(mapping), CandidateSourceCount()])).fit_all(hist)
+        return rows(pipe.create_dataset(users, hist, labels, 200))
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "1")
+        one = build()
+        spark.conf.set("spark.sql.shuffle.partitions", "13")
+        many = build()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert one == many and len(one) > 0
