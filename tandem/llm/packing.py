@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tandem.llm.common import prepare, slices, written
+from tandem.llm.common import prepare, slices, small, written
 from tandem.llm.tokens import encoder, file
 
 LENGTH = 1024
@@ -207,12 +207,6 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, targets: dict[str, float]
             .mapInPandas(_pieces(queues, schedule, length, window, with_ids), schema))
 
 
-def small(df: DataFrame, longs: int, most_bytes: int = 8 << 20) -> DataFrame:
-    """``df`` marked for broadcast when its rows are proven few; otherwise as it is (Spark then shuffles)."""
-    kept = written(df, "small")
-    return F.broadcast(kept) if kept.count() * (8 * longs + 16) <= most_bytes else kept
-
-
 def op7_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of 1024 byte_bpe_50k ids, end id 0, at the corpus' own mixture."""
     from tandem.llm.common import documents

@@ -35,40 +35,21 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in shown else chr(next(free)) for b in range(256)]
 
 
-class Merges:
-    """The merge list of a tokenizer file as an open-addressed hash table in arrays."""
-
-    def __init__(self, spec: dict):
-        import regex
+class PairTable:
+    """Merges of symbol pairs as an open-addressed hash table in arrays: pair to rank and merged symbol."""
 
-        model = spec["model"]
-        vocab, self.end = model["vocab"], model.get("end_of_word_suffix") or ""
-        kinds = json.dumps(spec.get("pre_tokenizer"))
-        split = re.search(r'"Regex": "((?:[^"\\]|\\.)*)"', kinds)
-        # FIXED VALUE: the byte-level pre-token pattern, where the file gives none of its own
-        own = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-        pattern = json.loads(f'"{split[1]}"') if split else own
-        # pieces are cut together, with SEP between them
-        self.pattern = regex.compile(SEP + "|" + pattern.replace(r"[^\s", r"[^\x00\s"))
-        self.lower = "Lowercase" in json.dumps(spec.get("normalizer"))
-        symbols = byte_symbols()
-        self.inner = np.array([vocab.get(s, -1) for s in symbols], np.int64)
-        self.last = np.array([vocab.get(s + self.end, -1) for s in symbols], np.int64)
-        self.bits = 18
-        while 1 << self.bits < 8 * len(model["merges"]):
-            self.bits += 1
+    def __init__(self, keys: np.ndarray, rank: np.ndarray, made: np.ndarray):
+        """keys: left symbol << 32 | right symbol, each once."""
+        self.bits = max(10, int(8 * len(keys)).bit_length())
         self.key = np.full(1 << self.bits, -1, np.int64)
         self.rank = np.zeros(1 << self.bits, np.int64)
         self.made = np.zeros(1 << self.bits, np.int64)
-        pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
-        keys = np.array([vocab[a] << 32 | vocab[b] for a, b in pairs], np.int64)
-        made = np.array([vocab[a + b] for a, b in pairs], np.int64)
         at, todo = self._slot(keys), np.arange(len(keys))
         while len(todo):
             free = todo[self.key[at[todo]] == -1]
             _, first = np.unique(at[free], return_index=True)
             put = free[first]
-            self.key[at[put]], self.rank[at[put]], self.made[at[put]] = keys[put], put, made[put]
+            self.key[at[put]], self.rank[at[put]], self.made[at[put]] = keys[put], rank[put], made[put]
             todo = np.setdiff1d(todo, put, assume_unique=True)
             at[todo] = (at[todo] + 1) & ((1 << self.bits) - 1)
 
@@ -91,47 +72,85 @@ class Merges:
             todo = todo[~hit & (got != -1)]
         return out
 
-    def encode(self, words: list[bytes], dtype: np.dtype) -> list[bytes]:
-        """Ids of pre-tokens given as UTF-8, each of 1 to ``LONGEST`` bytes."""
-        out: list[bytes] = [b""] * len(words)
-        size = np.array([len(w) for w in words])
-        order = np.argsort(size, kind="stable")
-        for rows in np.split(order, np.flatnonzero(np.diff(size[order])) + 1):
-            if len(rows):
-                ids, n = self._same_size([words[r] for r in rows])
-                held = np.arange(ids.shape[1]) < n[:, None]
-                flow, ends = ids[held].astype(dtype).tobytes(), (np.cumsum(n) * dtype.itemsize).tolist()
-                for r, a, b in zip(rows.tolist(), [0, *ends], ends, strict=False):
-                    out[r] = flow[a:b]
-        return out
-
-    def _same_size(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        raw = np.frombuffer(b"".join(words), np.uint8).reshape(len(words), -1)
-        sym = self.inner[raw]
-        sym[:, -1] = self.last[raw[:, -1]]
-        n = np.full(len(words), sym.shape[1])
-        live = np.arange(len(words))
-        cur, none = sym.copy(), np.int64(1 << 40)
+    def merge(self, sym: np.ndarray, skip=None) -> tuple[np.ndarray, np.ndarray]:
+        """Merge rows of equally many symbols (not negative): in each round every row takes its merge of least rank,
+        leftmost on ties. ``skip(rows, begins, ends)`` may rule out candidates by the places they span. Returns the
+        rows, each filled up to its count of symbols, and the counts."""
+        sym = sym.copy()
+        n = np.full(len(sym), sym.shape[1])
+        live, cur, none = np.arange(len(sym)), sym.copy(), np.int64(1 << 40)
+        begin = np.tile(np.arange(sym.shape[1] + 1), (len(sym), 1)) if skip else None
         while cur.shape[1] > 1 and len(live):
             slot = self.find(cur[:, :-1].ravel(), cur[:, 1:].ravel()).reshape(len(live), -1)
-            slot[(cur[:, 1:] < 0)] = -1
             rank = np.where(slot >= 0, self.rank[slot], none)
+            if skip:
+                rank[skip(live, begin[:, :-2], begin[:, 2:])] = none
             p = rank.argmin(axis=1)
-            row = np.arange(len(live))
-            go = rank[row, p] < none
+            go = rank[np.arange(len(live)), p] < none
             sym[live[~go], :cur.shape[1]] = cur[~go]
             live, cur, p, slot = live[go], cur[go], p[go], slot[go]
             row = np.arange(len(live))
             cur[row, p] = self.made[slot[row, p]]
             n[live] -= 1
-            keep = np.ones(cur.shape, bool)
+            keep = np.ones((len(live), cur.shape[1] + 1), bool)  # a row loses one symbol a round
             keep[row, p + 1] = False
-            cur = cur[keep].reshape(len(live), keep.shape[1] - 1)  # every live row loses one symbol a round
+            if skip:
+                begin = begin[go][keep].reshape(len(live), cur.shape[1])
+            cur = cur[keep[:, :-1]].reshape(len(live), cur.shape[1] - 1)
         if len(live):
             sym[live, :cur.shape[1]] = cur
         return sym, n
 
 
+class Merges:
+    """What a tokenizer file says about pre-tokens and merges."""
+
+    def __init__(self, spec: dict):
+        import regex
+
+        model = spec["model"]
+        vocab, end = model["vocab"], model.get("end_of_word_suffix") or ""
+        kinds = json.dumps(spec.get("pre_tokenizer"))
+        split = re.search(r'"Regex": "((?:[^"\\]|\\.)*)"', kinds)
+        # FIXED VALUE: the byte-level pre-token pattern, where the file gives none of its own
+        own = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+        pattern = json.loads(f'"{split[1]}"') if split else own
+        # pieces are cut together, with SEP between them
+        self.pattern = regex.compile(SEP + "|" + pattern.replace(r"[^\s", r"[^\x00\s"))
+        self.lower = "Lowercase" in json.dumps(spec.get("normalizer"))
+        symbols = byte_symbols()
+        self.inner = np.array([vocab.get(s, -1) for s in symbols], np.int64)
+        self.last = np.array([vocab.get(s + end, -1) for s in symbols], np.int64)
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        self.table = PairTable(np.array([vocab[a] << 32 | vocab[b] for a, b in pairs], np.int64),
+                               np.arange(len(pairs)), np.array([vocab[a + b] for a, b in pairs], np.int64))
+
+    def encode(self, words: list[bytes], dtype: np.dtype) -> list[bytes]:
+        """Ids of pre-tokens given as UTF-8, each of 1 to ``LONGEST`` bytes."""
+        out: list[bytes] = [b""] * len(words)
+        for rows in same_size([len(w) for w in words]):
+            raw = np.frombuffer(b"".join([words[r] for r in rows]), np.uint8).reshape(len(rows), -1)
+            sym = self.inner[raw]
+            sym[:, -1] = self.last[raw[:, -1]]
+            for r, own in zip(rows.tolist(), cut_rows(*self.table.merge(sym), dtype), strict=True):
+                out[r] = own
+        return out
+
+
+def same_size(sizes: list[int]) -> list[np.ndarray]:
+    """Indices grouped by size."""
+    size = np.array(sizes, np.int64)
+    order = np.argsort(size, kind="stable")
+    return [g for g in np.split(order, np.flatnonzero(np.diff(size[order])) + 1) if len(g)]
+
+
+def cut_rows(sym: np.ndarray, n: np.ndarray, dtype: np.dtype) -> list[bytes]:
+    """The first ``n`` symbols of each row as bytes."""
+    flow = sym[np.arange(sym.shape[1]) < n[:, None]].astype(dtype).tobytes()
+    ends = (np.cumsum(n) * np.dtype(dtype).itemsize).tolist()
+    return [flow[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+
 class PieceEncoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task on every core already
