@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tandem.llm.common import documents, id_text, prepare, slices, small, written
 
-BUCKETS = 1 << 16
+BUCKETS = 3 << 16  # two thirds for words, one third for word pairs
 KEEP = 0.8
 SEED = 17
 TEMPERATURE = 0.05
@@ -35,7 +35,8 @@ class Grams:
     """Buckets of the 1- and 2-grams of a text; words are ASCII-lower-cased runs of non-space bytes."""
 
     def __init__(self, buckets: int):
-        self.buckets, self.memo = np.uint64(buckets), {}
+        self.words, self.memo = np.uint64(buckets // 3 * 2), {}
+        self.pairs = np.uint64(buckets) - self.words
 
     def __call__(self, text: str) -> np.ndarray:
         memo = self.memo
@@ -47,7 +48,8 @@ class Grams:
         h = np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
         pair = (h[:-1] * np.uint64(0x9E3779B97F4A7C15)) ^ (h[1:] + np.uint64(0x7F4A7C159E3779B9))
         pair = (pair ^ (pair >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-        return (np.concatenate([h >> np.uint64(7), pair >> np.uint64(7)]) % self.buckets).astype(np.int64)
+        return np.concatenate([(h >> np.uint64(7)) % self.words,
+                               self.words + (pair >> np.uint64(7)) % self.pairs]).astype(np.int64)
 
 
 def _counts(buckets: int):

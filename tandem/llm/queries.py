@@ -7,6 +7,7 @@ from tandem.llm.ans import op1_ans_token_files
 from tandem.llm.dropout import op9_merge_dropout
 from tandem.llm.graph_search import op3_pruned_graph_search
 from tandem.llm.importance import op5_importance_resampling
+from tandem.llm.overlap_join import op4_divide_skip_join
 from tandem.llm.packing import op7_mixture_packing
 from tandem.llm.pii import op6_weak_supervision_pii
 from tandem.llm.prefix_counts import op10_prefix_token_counts
@@ -15,6 +16,7 @@ from tandem.llm.risk_rules import op8_risk_controlled_rules
 QUERIES = {f.__name__: f for f in (
     op1_ans_token_files,
     op3_pruned_graph_search,
+    op4_divide_skip_join,
     op5_importance_resampling,
     op6_weak_supervision_pii,
     op7_mixture_packing,

@@ -4,8 +4,9 @@ Each rule is a number a document; a document fails a rule when the number is abo
 (its language). Cutoffs come from a labelled holdout of good documents: rejecting above ``c`` is allowed only if the
 hypothesis "more than ``alpha`` of the stratum's good documents are above ``c``" is refuted by an exact binomial test,
 P(Binomial(n, alpha) <= k) <= delta / tests, with ``k`` of the ``n`` good holdout documents above ``c`` and ``tests``
-the number of (stratum, rule, cutoff) hypotheses (Bonferroni). The smallest allowed cutoff wins; without one, the rule
-rejects nothing in that stratum. ``alpha`` is split evenly over the rules, so by the union bound at most ``alpha`` of
+the number of (stratum, rule) families (Bonferroni). Within a family the cutoffs are tested from the largest down, each
+at the same level, up to the first that is not allowed (a fixed sequence needs no further correction); as ``k`` only
+grows on the way, that is the smallest allowed cutoff. Without one, the rule rejects nothing in that stratum. ``alpha`` is split evenly over the rules, so by the union bound at most ``alpha`` of
 the good documents of a stratum fail any rule, for all strata at once with probability ``1 - delta``.
 
 Everything is DataFrame expressions. Counts within a text are array functions on the row: a document, however long, is
@@ -139,7 +140,7 @@ def cutoffs(counts: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: f
     # one row a stratum and rule from here on: its counts by step
     hist = written(by_step.groupBy("stratum", "rule").agg(
         F.map_from_entries(F.collect_list(F.struct("step", "n"))).alias("h"), F.sum("n").alias("n")), "rule-counts")
-    tests = max(1, hist.count() * steps)
+    tests = max(1, hist.count())
     tried = hist.select("stratum", "rule", "n", "h", F.explode(F.sequence(F.lit(1), F.lit(steps))).alias("step"))
     above = F.aggregate(F.map_entries(F.col("h")), F.lit(0).cast("long"),
                         lambda s, e: s + F.when(e["key"] > F.col("step"), e["value"]).otherwise(F.lit(0)))
@@ -181,7 +182,7 @@ def op8_risk_controlled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL = r"""
 with d as (
   select doc_id, coalesce(lang, '') stratum, coalesce(text, '') t from documents),
-w as (select doc_id, stratum, t, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), x -> x <> '') ws from d),
+w as (select doc_id, stratum, t, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') ws from d),
 win as (
   select doc_id, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] g
   from (select doc_id, ws, unnest(range(1, len(ws) - 1)) i from w where len(ws) >= 3)),
@@ -214,8 +215,8 @@ tried as (
   from g, (select unnest(range(1, 41)) c) c group by all),
 passed as (
   select stratum, rule, step from (
-    select stratum, rule, step, n, k, (select count(*) from tried) tests,
-      list_sum(list_transform(range(0, k + 1), i -> exp(lgamma(n + 1) - (case when i > 0 then lgamma(i + 1) else 0 end)
+    select stratum, rule, step, n, k, (select count(*) from (select distinct stratum, rule from tried)) tests,
+      list_sum(list_transform(range(0, k + 1), lambda i: exp(lgamma(n + 1) - (case when i > 0 then lgamma(i + 1) else 0 end)
         - lgamma(n - i + 1) + i * ln(0.004::double) + (n - i) * ln(0.996::double)))) tail
     from tried where k < n * 0.004) where tail <= 0.05 / tests),
 cut as (select stratum, rule, min(step) cutoff from passed group by all),
