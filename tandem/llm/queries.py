@@ -12,9 +12,11 @@ from tandem.llm.packing import op7_mixture_packing
 from tandem.llm.pii import op6_weak_supervision_pii
 from tandem.llm.prefix_counts import op10_prefix_token_counts
 from tandem.llm.risk_rules import op8_risk_controlled_rules
+from tandem.llm.run_index import op2_run_length_repeats
 
 QUERIES = {f.__name__: f for f in (
     op1_ans_token_files,
+    op2_run_length_repeats,
     op3_pruned_graph_search,
     op4_divide_skip_join,
     op5_importance_resampling,

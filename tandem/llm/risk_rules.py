@@ -77,23 +77,25 @@ def _repeated(words: Column) -> Column:
     return F.when(F.size(words) < 4, F.lit(0)).otherwise(_let(words, count))
 
 
-def measured(docs: DataFrame) -> DataFrame:
-    """doc_id, stratum and the counts of every text. Null texts have no words; a null language is a stratum of its
+def measured(docs: DataFrame, carry: bool = False) -> DataFrame:
+    """doc_id, stratum and the counts of every text; with ``carry`` also the whole row, as ``row``. Null texts have no words; a null language is a stratum of its
     own (""); null ids and repeated rows stay."""
     stratum = F.coalesce(F.col("lang").cast("string"), F.lit("")) if "lang" in docs.columns else F.lit("")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                       F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), stratum.alias("stratum"))
+                       F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), stratum.alias("stratum"),
+                       *([F.struct(*docs.columns).alias("row")] if carry else []))
+    more = ["row"] if carry else []
     t = F.col("text")
     words = F.filter(F.split(t, "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
     lines = F.filter(F.split(t, "\n"), lambda x: F.length(F.translate(x, SPACES, "")) > 0)
     counts = _let(words, lambda w: F.struct(F.size(w).alias("n"), _repeated(w).alias("r")))
     by_line = _let(lines, lambda x: F.struct(F.size(x).alias("n"), F.size(F.array_distinct(x)).alias("d")))
     bare = F.translate(t, SPACES, "")
-    return (rows.select("doc_id", "stratum", counts.alias("w"), by_line.alias("l"),
+    return (rows.select("doc_id", "stratum", *more, counts.alias("w"), by_line.alias("l"),
                         F.length(bare).cast("long").alias("word_chars"), _without(t, SYMBOLS).cast("long").alias("n_symbols"),
                         _without(t, "ABCDEFGHIJKLMNOPQRSTUVWXYZ").cast("long").alias("n_upper"),
                         _without(t, "!").cast("long").alias("n_bangs"))
-            .select("doc_id", "stratum", F.col("w.n").cast("long").alias("n_words"), "word_chars", "n_symbols",
+            .select("doc_id", "stratum", *more, F.col("w.n").cast("long").alias("n_words"), "word_chars", "n_symbols",
                     (F.col("l.n") - F.col("l.d")).cast("long").alias("n_dup_lines"),
                     F.col("w.r").cast("long").alias("n_repeat_words"), "n_upper", "n_bangs",
                     F.col("l.n").cast("long").alias("n_lines")))
@@ -152,14 +154,15 @@ def cutoffs(counts: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: f
 
 
 def judge(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA,
-          steps: int = STEPS) -> DataFrame:
-    """The counts of each document with ``base_failed``, ``failed_rules`` and ``kept``.
+          steps: int = STEPS, carry: bool = False) -> DataFrame:
+    """The counts of each document with ``base_failed``, ``failed_rules`` and ``kept``; with ``carry`` also the whole
+    row of ``docs``, as ``row``.
 
     The counts (a few numbers a document) are written once, as both the holdout and the verdicts read them. The
     cutoffs are one row a stratum, a map from rule to step, and are broadcast when proven small.
     """
     prepare(docs.sparkSession)
-    counts = written(measured(docs), "rule-measures")
+    counts = written(measured(docs, carry), "rule-measures")
     cuts = (cutoffs(counts, labels, alpha, delta, steps).groupBy("stratum")
             .agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cuts")))
     at = _steps(counts, steps)
