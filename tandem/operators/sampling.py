@@ -78,6 +78,8 @@ def sample_users_to_rows(df: DataFrame, target_rows: int, seed: int = 42) -> Dat
 def downsample_negatives(df: DataFrame, neg_fraction: float = 0.05, seed: int = 42,
                          keys=("uid", "item_id")) -> DataFrame:
     """All rows with target 1 plus ~``neg_fraction`` of the target-0 rows."""
+    if neg_fraction >= 1:
+        return df.where(F.col("target").isin(0, 1))
     cut = hex_threshold(neg_fraction)
     pick = F.substring(hash_key(seed, *keys), 1, 8) < F.lit(cut)
     return df.where((F.col("target") == 1) | ((F.col("target") == 0) & pick))

@@ -84,7 +84,7 @@ def latest_events(df: DataFrame, n: int) -> DataFrame:
     deterministic; exact duplicate rows are interchangeable.
     """
     keys = [F.desc("timestamp")] + [F.desc(c) for c in df.columns if c != "timestamp"]
-    return df.orderBy(*keys).limit(n)
+    return df.orderBy(*keys).limit(n).orderBy("timestamp", *[c for c in df.columns if c != "timestamp"])
 
 
 def dedupe_max(df: DataFrame, keys: Sequence[str], score: str = "score") -> DataFrame:
@@ -99,19 +99,17 @@ def global_index(df: DataFrame, order: Sequence[str], index_col: str = "idx",
     """0-based position of every row in the total order ``order``.
 
     Never an unpartitioned window: rows are range-partitioned on the order
-    key, numbered inside each range, and shifted by the row count of all
-    lower ranges. The offset table has one row per range (bounded by the
-    partition count), so it is broadcast.
+    key, written once, numbered inside each range, and shifted by the row
+    count of all lower ranges. Both the numbers and the counts read the
+    written ranges: their bounds are sampled, and a second evaluation with
+    other columns could sample others. The offset table has one row per range
+    (bounded by the partition count), so it is broadcast.
     """
+    from tandem.sources.io import materialise
+
     spark = df.sparkSession
     n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n_parts, *order).withColumn("_pid", F.spark_partition_id())
-    # Both branches below must see the same ranges (bounds are sampled). Spark
-    # reuses the one range exchange for both; if a cluster turns exchange
-    # reuse off, the ranged rows are checkpointed so both read one copy.
-    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() == "false":
-        from tandem.sources.io import materialise
-        ranged = materialise(ranged)
+    ranged = materialise(df.repartitionByRange(n_parts, *order).withColumn("_pid", F.spark_partition_id()))
     w = Window.partitionBy("_pid").orderBy(*order)
     numbered = ranged.withColumn("_rn", F.row_number().over(w))
     sizes = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))

@@ -132,11 +132,11 @@ class Ease(CandidateGenerator):
     name = "ease"
 
     def __init__(self, top_k_items: int = 60000, l2_reg: float = 500.0, store: FittedStore | None = None,
-                 **solver):
+                 tile: int = ease_ops.TILE):
         super().__init__(store)
         self.top_k_items = top_k_items
         self.l2_reg = l2_reg
-        self.solver = solver
+        self.tile = tile
         self.model: ease_ops.EaseModel | None = None
 
     def fit(self, history, force=False):
@@ -144,7 +144,7 @@ class Ease(CandidateGenerator):
         if path and not force and self.store.exists(self.name, "model/weights"):
             self.model = ease_ops.load(history.sparkSession, path)
         else:
-            self.model = ease_ops.fit(history, self.top_k_items, self.l2_reg, path=path, **self.solver)
+            self.model = ease_ops.fit(history, self.top_k_items, self.l2_reg, self.tile, path)
         return self
 
     def generate(self, users, history, num_candidates):
@@ -166,6 +166,8 @@ class IALS(CandidateGenerator):
                  regularization: float = 0.1, seed: int = 42, store: FittedStore | None = None,
                  checkpoint_interval: int = 10):
         super().__init__(store)
+        if alpha <= 1:
+            raise ValueError("alpha must be above 1: a single like has confidence alpha, and 1 means no like")
         self.factors, self.iterations = factors, iterations
         self.alpha, self.regularization, self.seed = alpha, regularization, seed
         self.checkpoint_interval = checkpoint_interval
@@ -225,7 +227,8 @@ class IALS(CandidateGenerator):
         if self.encoded:
             u = u.join(self.user_codes, "uid").select("uid", F.col("code").cast("int").alias("user"))
         else:
-            u = u.select("uid", F.col("uid").cast("int").alias("user"))
+            # a cold id may not fit int32
+            u = u.select("uid", F.col("uid").try_cast("int").alias("user"))
         known = u.join(self.model.userFactors.select(F.col("id").alias("user")), "user", "left_semi")
         recs = self.model.recommendForUserSubset(known.select("user"), num_candidates)
         out = recs.select("user", F.inline("recommendations"))
@@ -256,9 +259,11 @@ class IALSItemToItem(CandidateGenerator):
 
     def generate(self, users, history, num_candidates):
         item_f = self.ials.item_factors
-        h = history.join(users, "uid", "left_semi").join(item_f.select(F.col("id").alias("item_id")),
-                                                         "item_id", "left_semi")
-        recent = recent_per_user(h, self.n_last_items).select("uid", F.col("item_id").alias("src"))
+        # the newest likes first, then what the model knows of them: an unknown
+        # like is not replaced by an older one
+        h = history.join(users, "uid", "left_semi")
+        recent = (recent_per_user(h, self.n_last_items).select("uid", F.col("item_id").alias("src"))
+                  .join(item_f.select(F.col("id").alias("src")), "src", "left_semi"))
         sources = recent.select(F.col("src").alias("id")).distinct().join(item_f, "id")
         nn = topk_inner_product(sources, item_f, self.n_similar_per_item)
         cand = recent.join(nn.withColumnRenamed("qid", "src"), "src").select("uid", "item_id", "score")
@@ -280,7 +285,7 @@ class RetrievalStage:
 
     def fetch_all(self, users: DataFrame, history: DataFrame, num_candidates_per_gen: int = 200) -> DataFrame:
         parts = [g.generate(users, history, num_candidates_per_gen)
-                 .select("uid", "item_id", "score", F.lit(1.0).alias(f"from_{g.name}"))
+                 .select("uid", "item_id", "score", F.lit(1.0).alias(f"is_{g.name}"))
                  for g in self.generators]
         if not parts:
             return users.sparkSession.createDataFrame([], schemas.SCORED)
@@ -289,6 +294,6 @@ class RetrievalStage:
             combined = combined.unionByName(p, allowMissingColumns=True)
         merged = combined.groupBy("uid", "item_id").agg(
             F.max("score").alias("score"),
-            *[F.coalesce(F.max(f"from_{g.name}"), F.lit(0.0)).alias(f"is_{g.name}") for g in self.generators])
+            *[F.coalesce(F.max(f"is_{g.name}"), F.lit(0.0)).alias(f"is_{g.name}") for g in self.generators])
         seen = history.select("uid", "item_id")
         return merged.join(seen, ["uid", "item_id"], "left_anti")

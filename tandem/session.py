@@ -11,6 +11,7 @@ import os
 import tempfile
 import zipfile
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 # Settings the engine relies on. AQE re-plans joins from runtime sizes and
@@ -39,7 +40,9 @@ def get_session(master: str | None = None, app_name: str = "tandem",
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = dict(DEFAULT_CONF)
+    # settings given at submit win over the defaults here
+    submitted = SparkConf()
+    conf = {k: v for k, v in DEFAULT_CONF.items() if not submitted.contains(k)}
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})

@@ -9,6 +9,7 @@ plain distributed parquet/CSV write. ``FittedStore`` gives the
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,11 +56,12 @@ def write_submission(df: DataFrame, path: str) -> None:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into the session's checkpoint folder (reliable
-    checkpoint: survives executor loss, unlike a local checkpoint)."""
-    from tandem.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Compute ``df`` once into the session's shared scratch folder and read
+    it back: survives executor loss, and readers still prune columns."""
+    from tandem.session import scratch_path
+    path = scratch_path(df.sparkSession, f"table-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:

@@ -8,7 +8,7 @@ from tests.conftest import rows
 
 
 def test_ease_micro_weights(likes):
-    model = ease.fit(likes, top_k_items=2, l2_reg=1.0, block_cols=1)
+    model = ease.fit(likes, top_k_items=2, l2_reg=1.0, tile=1)
     w = {(r.item_i, r.item_j): r.w for r in model.weights_long(likes.sparkSession).collect()}
     assert w[(10, 20)] == pytest.approx(0.5, abs=1e-9)
     assert w[(20, 10)] == pytest.approx(1.0, abs=1e-9)
@@ -29,7 +29,7 @@ def _planted(spark, n_users=120, n_items=60, blocks=3, seed=0):
 
 def test_ease_matches_numpy_inverse(spark):
     df, data = _planted(spark)
-    model = ease.fit(df, top_k_items=1000, l2_reg=5.0, block_cols=16)
+    model = ease.fit(df, top_k_items=1000, l2_reg=5.0, tile=16)
     items = sorted({i for _, i, _, _ in data})
     pos = {it: k for k, it in enumerate(items)}
     X = np.zeros((120, len(items)))
@@ -179,3 +179,76 @@ def test_submitter_and_validate(spark, likes, users, tmp_path):
     assert set(got) == {1, 2, 3, 5} and got[1] == "40" and len(got[5].split()) == 2
     with pytest.raises(ValueError):
         Submitter(ranker, None).create_submission(users, likes)
+
+
+@pytest.mark.parametrize("tile", [1024, 8, 41])
+def test_ease_with_an_isolated_item(spark, tile):
+    """An item that co-occurs with nothing leaves the rest of its block intact."""
+    rng = np.random.default_rng(5)
+    data = [(u, int(i)) for u in range(60) for i in rng.choice(40, 6, replace=False)] + [(1000, 40), (1001, 40)]
+    likes = spark.createDataFrame([(u, i, 1, 1) for u, i in data], "uid long, item_id long, timestamp long, is_organic int")
+    model = ease.fit(likes, top_k_items=100, l2_reg=3.0, tile=tile)
+    x = np.zeros((62, 41))
+    users = sorted({u for u, _ in data})
+    for u, i in data:
+        x[users.index(u), i] += 1
+    p = np.linalg.inv(x.T @ x + 3.0 * np.eye(41))
+    b = p / -np.diag(p)
+    np.fill_diagonal(b, 0.0)
+    got = np.zeros_like(b)
+    for r in model.weights_long(spark).collect():
+        got[r.item_i, r.item_j] = r.w
+    assert np.abs(got - b).max() < 1e-10
+    assert all(r.ok for r in ease.residual_check(model).collect()) and ease.residual_check(model).count() == 41
+    top = {(r.uid, r.item_id): r.score for r in ease.score(model, likes, None, 41, user_block_rows=13).collect()}
+    want = x @ b
+    assert len(top) == 62 * 41 and max(abs(top[u, i] - want[k, i]) for k, u in enumerate(users) for i in range(41)) < 1e-9
+
+
+def test_global_index_with_payload(spark):
+    from pyspark.sql import functions as F
+    from tandem.operators.topk import global_index
+    df = (spark.range(50_000).select((F.xxhash64("id") % 100_000).alias("k"), "id",
+                                     F.repeat(F.lit("x"), 30).alias("payload")).repartition(7))
+    rows = global_index(df, ["k", "id"], "idx", num_partitions=9).orderBy("idx").select("idx", "k", "id").collect()
+    assert [r.idx for r in rows] == list(range(50_000))
+    keys = [(r.k, r.id) for r in rows]
+    assert keys == sorted(keys)
+
+
+def test_ials_rejects_alpha_one_and_serves_cold_big_ids(spark, likes):
+    from tandem.plans.retrieval import IALS
+    with pytest.raises(ValueError):
+        IALS(alpha=1.0)
+    g = IALS(factors=4, iterations=2).fit(likes)
+    users = spark.createDataFrame([(1,), (3_000_000_000,)], "uid long")
+    assert {r.uid for r in g.generate(users, likes, 3).collect()} == {1}
+
+
+def test_user_static_is_the_same_on_both_branches(spark, likes):
+    from tandem.plans.features import UserStatic
+    users = spark.createDataFrame([(1,), (2,)], "uid long")
+    cands = spark.createDataFrame([(1, 10, 1.0), (3, 10, 1.0)], "uid long, item_id long, score double")
+    got = [sorted(tuple(r) for r in UserStatic(broadcast_rows=n).fit(likes).transform(cands, users, likes)
+                  .select("uid", "user_total_likes", "user_unique_items").collect()) for n in (0, 1000)]
+    assert got[0] == got[1] == [(1, 4, 3), (3, 0, 0)]
+
+
+def test_ranker_keeps_its_features(spark, tmp_path):
+    from tandem.plans.ranking import Ranker, fit_ranker
+    rng = np.random.default_rng(3)
+    rows = [(k, k, float(a), float(b), int(a > 0)) for k, (a, b) in enumerate(rng.normal(size=(300, 2)))]
+    df = spark.createDataFrame(rows, "uid long, item_id long, fa double, fb double, target int")
+    ranker = fit_ranker(df, iterations=3, depth=2)
+    ranker.save(str(tmp_path / "r"))
+    again = Ranker.load(str(tmp_path / "r"))
+    assert again.features == ["fa", "fb"]
+    a, b = (sorted(tuple(r) for r in x.predict(df).collect()) for x in (ranker, again))
+    assert a == b and again.auc(df) > 0.95
+
+
+def test_coverage_without_truth(spark):
+    from tandem.plans.evaluation import coverage_by_flags
+    ds = spark.createDataFrame([(1, 2, 1.0, 0)], "uid long, item_id long, is_a double, target int")
+    raw = spark.createDataFrame([], "uid long, item_id long")
+    assert coverage_by_flags(ds, raw).first()["contribution_pct"] is None

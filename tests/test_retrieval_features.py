@@ -146,8 +146,9 @@ def test_empty_inputs_keep_schema(spark, mapping):
     assert sub == {1: "", 2: ""}
     vecs = spark.createDataFrame([], "id long, features array<float>")
     assert topk_inner_product(vecs, vecs, 3).count() == 0
-    with pytest.raises(ValueError):
-        ease.fit(empty, top_k_items=10)
+    model = ease.fit(empty, top_k_items=10)
+    assert model.n_items == 0 and ease.score(model, empty, users, 5).count() == 0
+    assert ease.residual_check(model).count() == 0
 
 
 def test_dataset_independent_of_shuffle_partitions(spark, likes, mapping, users):
