@@ -19,6 +19,7 @@ from tandem.operators.sampling import (cap_history, downsample_negatives, positi
 from tandem.operators.similarity import cooccurrence, sparsify
 from tandem.operators.topk import global_top_n, latest_events
 from tandem.operators.vectors import pair_dot, topk_inner_product
+from tandem.plans import checks
 from tandem.plans.dataset import RecPipeline, attach_target
 from tandem.plans.evaluation import coverage_by_flags, coverage_by_generator, recall_at_k, target_counts
 from tandem.plans.features import (ArtistStatic, CandidateSourceCount, FeatureManager, IALSDot, ItemStatic,
@@ -125,15 +126,19 @@ def q_user_sample_to_target(spark, sf):
     return sample_users_to_rows(capped, capped.count() // 2, SEED)
 
 
-def q_split_temporal(spark, sf):
-    parts = temporal_split(_likes(spark, sf), 1)
+def _parts(split):
+    """The four frames of a temporal split as one, with a ``part`` column."""
     names = ["hist_train", "train", "val_hist", "val"]
-    out = parts[0].withColumn("part", F.lit(names[0]))
-    for p, name in zip(parts[1:], names[1:]):
+    out = split[0].withColumn("part", F.lit(names[0]))
+    for p, name in zip(split[1:], names[1:]):
         out = out.unionByName(p.withColumn("part", F.lit(name)))
     return out
 
 
+def q_split_temporal(spark, sf):
+    return _parts(temporal_split(_likes(spark, sf), 1))
+
+
 def q_split_positional(spark, sf):
     return positional_split(_likes(spark, sf))
 
@@ -263,10 +268,53 @@ def q_ials_i2i_candidates(spark, sf):
 
 def q_feat_ials_dot(spark, sf):
     g, likes = _ials(spark, sf)
-    cands, users, _ = _popular_unseen(spark, sf)
+    cands, _, _, users = _merged(spark, sf)
     return IALSDot(g).transform(cands.select("uid", "item_id", "score"), users, likes)
 
 
+def q_ease_scores_check(spark, sf):
+    likes, users = _likes(spark, sf), td.target_users(spark, sf)
+    g = Ease(EASE_TOP_K_ITEMS, EASE_L2).fit(likes)
+    return checks.ease_scores(g.model, likes, users, g.generate(users, likes, NUM_CANDIDATES), NUM_CANDIDATES)
+
+
+def q_ials_normal_equations(spark, sf):
+    g, likes = _ials(spark, sf)
+    return checks.als_normal_equations(g, likes)
+
+
+def q_ials_topk_check(spark, sf):
+    g, likes = _ials(spark, sf)
+    users = td.target_users(spark, sf)
+    return checks.als_user_topk(g, users, g.generate(users, likes, NUM_CANDIDATES), NUM_CANDIDATES)
+
+
+def q_ials_i2i_check(spark, sf):
+    g, likes = _ials(spark, sf)
+    users, i2i = td.target_users(spark, sf), IALSItemToItem(g)
+    return checks.als_item_to_item(i2i, likes, users, i2i.generate(users, likes, NUM_CANDIDATES), NUM_CANDIDATES)
+
+
+def q_feat_ials_dot_check(spark, sf):
+    g, _ = _ials(spark, sf)
+    return checks.pair_dots(g, q_feat_ials_dot(spark, sf))
+
+
+def q_split_temporal_long(spark, sf):
+    return _parts(temporal_split(_likes(spark, sf), 2))
+
+
+def q_artist_top_tracks_multi(spark, sf):
+    return ArtistPopularity(td.artist_mapping_multi(spark, sf), TOP_N_ARTISTS, TRACKS_PER_ARTIST).fit(
+        _likes(spark, sf)).top_tracks
+
+
+def q_artist_pop_candidates_multi(spark, sf):
+    likes = _likes(spark, sf)
+    g = ArtistPopularity(td.artist_mapping_multi(spark, sf), TOP_N_ARTISTS, TRACKS_PER_ARTIST).fit(likes)
+    return g.generate(td.target_users(spark, sf), likes, NUM_CANDIDATES)
+
+
 _RANKERS: dict = {}
 
 
@@ -328,6 +376,14 @@ QUERIES = {
     "ials_candidates": q_ials_candidates,
     "ials_i2i_candidates": q_ials_i2i_candidates,
     "feat_ials_dot": q_feat_ials_dot,
+    "ease_scores_check": q_ease_scores_check,
+    "ials_normal_equations": q_ials_normal_equations,
+    "ials_topk_check": q_ials_topk_check,
+    "ials_i2i_check": q_ials_i2i_check,
+    "feat_ials_dot_check": q_feat_ials_dot_check,
+    "split_temporal_long": q_split_temporal_long,
+    "artist_top_tracks_multi": q_artist_top_tracks_multi,
+    "artist_pop_candidates_multi": q_artist_pop_candidates_multi,
     "ranker_scores": q_ranker_scores,
     "ranker_auc": q_ranker_auc,
 }
@@ -565,3 +621,16 @@ c AS (SELECT uid, item_id, count(*) AS n FROM likes WHERE item_id IN (SELECT ite
     "ease_weight_residual": _with(BASE, body=f"""SELECT item_id AS item_j, true AS ok FROM (SELECT item_id FROM likes
   GROUP BY item_id ORDER BY count(*) DESC, item_id LIMIT {EASE_TOP_K_ITEMS})"""),
 }
+
+_MAPPING = "artist_mapping AS (SELECT p_partkey AS item_id, CAST(substr(p_brand, 7) AS BIGINT) AS artist_id FROM part)"
+_MAPPING_MULTI = """artist_mapping AS (SELECT item_id, CASE WHEN item_id % 17 <> 0 THEN artist_id END AS artist_id FROM (
+  SELECT p_partkey AS item_id, CAST(substr(p_brand, 7) AS BIGINT) AS artist_id FROM part
+  UNION ALL SELECT p_partkey, 100 + p_size FROM part WHERE p_partkey % 10 = 0))"""
+for _name in ("artist_top_tracks", "artist_pop_candidates"):
+    SQL[f"{_name}_multi"] = SQL[_name].replace(_MAPPING, _MAPPING_MULTI)
+SQL["split_temporal_long"] = SQL["split_temporal"].replace(_d(0.93), _d(0.75)).replace(_d(0.98), _d(0.90))
+# every target user with history is ok; those without are in neither table
+_EVERY_USER = _with(BASE, body="SELECT DISTINCT l.uid, true AS ok FROM likes l JOIN target_users t ON t.uid = l.uid")
+SQL |= {name: _EVERY_USER for name in ("ease_scores_check", "ials_topk_check", "ials_i2i_check")}
+SQL["ials_normal_equations"] = _with(BASE, body="SELECT DISTINCT uid, true AS ok FROM likes")
+SQL["feat_ials_dot_check"] = _with(BASE, SPLIT, body="SELECT uid, true AS ok FROM train_users")
