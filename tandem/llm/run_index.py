@@ -31,7 +31,7 @@ from tandem.llm.common import documents, id_text, prepare, slices
 
 LENGTH = 50
 GRAM = 16
-BUCKET_CHARS = 4 << 20  # bytes of the corpus for each bucket
+BUCKET_CHARS = 2 << 20  # bytes of the corpus for each bucket
 
 
 def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -77,18 +77,19 @@ def _grouped(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 def _keys(length: int, gram: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """(hash, document) pairs, each once for a document."""
         for pdf in slices(batches, "text", 1 << 20):
             key, _, _, doc = anchors(*_grouped([t.encode("utf-8", "surrogatepass") for t in pdf["text"]]), length, gram)
             order = np.lexsort((key, doc))
             key, doc = key[order], doc[order]
             new = np.concatenate([[True], (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])]) if len(key) else np.zeros(0, bool)
             rows = doc[new]
-            yield pd.DataFrame({"key": key[new].view(np.int64), "doc_id": pdf["doc_id"].to_numpy()[rows],
-                                "th": pdf["th"].to_numpy()[rows]})
+            yield pd.DataFrame({"key": key[new].view(np.int64), "doc_id": pdf["doc_id"].to_numpy()[rows]})
     return run
 
 
-CONTEXTS = "bucket long, lens binary, docs binary, ths binary, starts binary, ctx binary"
+CONTEXTS = "bucket long, places binary, ctx binary"
+PLACE = np.dtype([("doc", "<i8"), ("start", "<i8"), ("size", "<i4"), ("th", "<i4")])
 
 
 def _contexts(length: int, gram: int, buckets: int):
@@ -116,13 +117,27 @@ def _contexts(length: int, gram: int, buckets: int):
                     own[1].append(ids[d])
                     own[2].append(ths[d])
                     own[3].append(s)
-            yield pd.DataFrame(
-                [(b, np.array([len(c) for c in own[0]], "<u4").tobytes(), np.array(own[1], "<i8").tobytes(),
-                  np.array(own[2], "<i8").tobytes(), np.array(own[3], "<i8").tobytes(), zlib.compress(b"".join(own[0]), 1))
-                 for b, own in held.items()], columns=[c.split()[0] for c in CONTEXTS.split(", ")])
+            yield pd.DataFrame([(b, _packed(*own), zlib.compress(b"".join(own[0]), 1)) for b, own in held.items()],
+                               columns=[c.split()[0] for c in CONTEXTS.split(", ")])
     return run
 
 
+def _packed(ctx: list[bytes], docs: list[int], ths: list[int], starts: list[int]) -> bytes:
+    """Places of contexts, column by column, so that like bytes stand together."""
+    p = np.zeros(len(ctx), PLACE)
+    p["doc"], p["start"], p["size"], p["th"] = docs, starts, [len(c) for c in ctx], ths
+    return zlib.compress(b"".join(p[f].tobytes() for f in PLACE.names), 1)
+
+
+def _unpacked(data: bytes) -> dict[str, np.ndarray]:
+    data, at, out = zlib.decompress(data), 0, {}
+    n = len(data) // PLACE.itemsize
+    for f in PLACE.names:
+        out[f] = np.frombuffer(data, PLACE[f], n, at)
+        at += n * PLACE[f].itemsize
+    return out
+
+
 class RunIndex:
     """Run-length Burrows-Wheeler transform of a set of texts, each closed by an end sign of its own.
 
@@ -149,17 +164,30 @@ class RunIndex:
         self.end = self.order[np.append(heads[1:], n) - 1] if n else self.order
 
     def _sorted(self, longest: int) -> np.ndarray:
-        """All suffixes in order: seven symbols at once, then by doubling; exhausted ones by text."""
+        """All suffixes in order, exhausted ones by text: some symbols at once, then by doubling.
+
+        A number that holds the sort key and, in its low bits, the position is sorted as it is, which is several times
+        faster than an index sort; texts too long for that are index-sorted.
+        """
         n = len(self.text)
-        rank = np.zeros(n, np.int64)
-        for k in range(7):
+        codes = np.zeros(int(self.text.max(initial=0)) + 1, np.int64)
+        codes[np.unique(self.text)] = np.arange(len(np.unique(self.text)))
+        width, low = int(codes.max(initial=1)).bit_length(), max(1, n - 1).bit_length()
+        depth = max(1, (63 - low) // width)
+        code, rank = codes[self.text], np.zeros(n, np.int64)
+        for k in range(depth):
             sym = np.zeros(n, np.int64)
-            sym[:n - k] = self.text[k:]
-            rank = rank * 512 + np.where(self.left >= k, sym, 0)
-        depth, order = 7, None
+            sym[:n - k] = code[k:] if k < n else 0
+            rank = rank << width | np.where(self.left >= k, sym, 0)
+        packed = 3 * (n + 1).bit_length() <= 63
+        at = np.arange(n)
         while True:
-            order = np.argsort(rank, kind="stable")
-            sorted_ = rank[order]
+            if packed:
+                both = np.sort(rank << low | at)
+                order, sorted_ = both & ((1 << low) - 1), both >> low
+            else:
+                order = np.argsort(rank, kind="stable")
+                sorted_ = rank[order]
             rank = np.empty(n, np.int64)
             rank[order] = np.cumsum(np.concatenate([[0], sorted_[1:] != sorted_[:-1]])) if n else rank
             if depth > longest or not n or rank[order[-1]] == n - 1:
@@ -167,6 +195,7 @@ class RunIndex:
             nxt = np.zeros(n, np.int64)
             nxt[:n - depth] = rank[depth:] + 1
             rank = rank * (n + 1) + np.where(self.left >= depth, nxt, 0)
+            packed = (n * (n + 1) + n).bit_length() + low <= 63
             depth *= 2
 
     def statistics(self) -> np.ndarray:
@@ -205,16 +234,15 @@ class RunIndex:
 def _marks(length: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         ids: dict[bytes, int] = {}
-        of, docs, ths, starts = [], [], [], []
+        of, places = [], []
         for r in pdf.itertuples():
             flow, at = zlib.decompress(r.ctx), 0
-            for n in np.frombuffer(r.lens, "<u4").tolist():
+            places.append(_unpacked(r.places))
+            for n in places[-1]["size"].tolist():
                 of.append(ids.setdefault(flow[at:at + n], len(ids)))
                 at += n
-            docs.append(np.frombuffer(r.docs, "<i8"))
-            ths.append(np.frombuffer(r.ths, "<i8"))
-            starts.append(np.frombuffer(r.starts, "<i8"))
-        of, doc, th, start = np.array(of), np.concatenate(docs), np.concatenate(ths), np.concatenate(starts)
+        of = np.array(of)
+        doc, start, th = (np.concatenate([p[f] for p in places]) for f in ("doc", "start", "th"))
         least = np.full(len(ids), np.iinfo(np.int64).max)
         np.minimum.at(least, of, doc)
         index = RunIndex(list(ids))
@@ -242,10 +270,10 @@ def _marks(length: int):
     return run
 
 
-def _split(data: bytes, spans) -> tuple[int, bytes]:
-    """Maximal runs of the spans and the bytes outside of them."""
+def _split(data: bytes, spans, th: int) -> tuple[int, bytes]:
+    """Maximal runs of the row's spans and the bytes outside of them."""
     merged: list[list[int]] = []
-    for a, b in sorted((int(s["begin"]), int(s["stop"])) for s in spans) if spans is not None else ():
+    for a, b in sorted((int(s["begin"]), int(s["stop"])) for s in spans if s["th"] == th) if spans is not None else ():
         if merged and a <= merged[-1][1]:
             merged[-1][1] = max(merged[-1][1], b)
         else:
@@ -260,9 +288,9 @@ def _split(data: bytes, spans) -> tuple[int, bytes]:
 def _removed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in slices(batches, "text"):
         rows = []
-        for doc, text, spans in zip(pdf["doc_id"], pdf["text"], pdf["spans"], strict=True):
+        for doc, text, th, spans in zip(pdf["doc_id"], pdf["text"], pdf["th"], pdf["spans"], strict=True):
             data = text.encode("utf-8", "surrogatepass")
-            n, kept = _split(data, spans)
+            n, kept = _split(data, spans, th)
             rows.append((doc, len(data), len(data) - len(kept), n, kept))
         yield pd.DataFrame(rows, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
@@ -276,24 +304,24 @@ REMOVED = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """doc_id, text and the text's hash, which tells rows of one doc_id apart."""
-    return id_text(docs).where("doc_id is not null").withColumn("th", F.xxhash64("text"))
+    """doc_id, text and a hash of the text, which tells rows of one doc_id apart."""
+    return id_text(docs).where("doc_id is not null").withColumn("th", F.hash("text"))
 
 
 def _spans(rows: DataFrame, length: int, gram: int, bucket_chars: int) -> DataFrame:
-    """doc_id, th, spans: byte ranges, overlapping, that cover what is to be removed."""
+    """doc_id, spans: byte ranges, overlapping, that cover what is to be removed, with the hash of the row's text."""
     prepare(rows.sparkSession)
     chars = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-int(chars) // bucket_chars))
     by_key = Window.partitionBy("key")
-    shared = (rows.mapInPandas(_keys(length, gram), "key long, doc_id long, th long")
+    shared = (rows.mapInPandas(_keys(length, gram), "key long, doc_id long")
               .withColumn("least", F.min("doc_id").over(by_key)).withColumn("most", F.max("doc_id").over(by_key))
               .where("least < most"))
-    wanted = shared.groupBy("doc_id", "th").agg(F.collect_set("key").alias("keys"))
-    contexts = rows.join(wanted, ["doc_id", "th"]).select("doc_id", "th", "text", "keys").mapInPandas(
+    wanted = shared.groupBy("doc_id").agg(F.collect_set("key").alias("keys"))
+    contexts = rows.join(wanted, "doc_id").select("doc_id", "th", "text", "keys").mapInPandas(
         _contexts(length, gram, buckets), CONTEXTS)
-    marks = contexts.groupBy("bucket").applyInPandas(_marks(length), "doc_id long, th long, begin long, stop long")
-    return marks.groupBy("doc_id", "th").agg(F.collect_set(F.struct("begin", "stop")).alias("spans"))
+    marks = contexts.groupBy("bucket").applyInPandas(_marks(length), "doc_id long, th int, begin long, stop long")
+    return marks.groupBy("doc_id").agg(F.collect_list(F.struct("th", "begin", "stop")).alias("spans"))
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bucket_chars: int = BUCKET_CHARS) -> DataFrame:
@@ -305,7 +333,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, buck
     """
     rows = _keyed(docs)
     spans = _spans(rows, length, gram, bucket_chars)
-    return rows.join(spans, ["doc_id", "th"], "left").select("doc_id", "text", "spans").mapInPandas(_removed, REMOVED)
+    return rows.join(spans, "doc_id", "left").select("doc_id", "text", "th", "spans").mapInPandas(_removed, REMOVED)
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bucket_chars: int = BUCKET_CHARS) -> DataFrame:
@@ -316,17 +344,18 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, buc
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            text = [t if s is None else _split(t.encode("utf-8", "surrogatepass"), s)[1].decode("utf-8", "ignore")
-                    for t, s in zip(pdf["text"], pdf["spans"], strict=True)]
+            text = [t if s is None or t is None else
+                    _split(t.encode("utf-8", "surrogatepass"), s, h)[1].decode("utf-8", "ignore")
+                    for t, h, s in zip(pdf["text"], pdf["text_hash"], pdf["spans_of"], strict=True)]
             out = pdf[names].assign(text=text)
             if "n_chars" in names:
-                out["n_chars"] = [n if s is None else len(t) for n, t, s in zip(pdf["n_chars"], text, pdf["spans"], strict=True)]
+                out["n_chars"] = [n if s is None or t is None else len(t)
+                                  for n, t, s in zip(pdf["n_chars"], text, pdf["spans_of"], strict=True)]
             yield out
 
-    at = docs.withColumn("spans_of", F.struct(F.col("doc_id").cast("long").alias("doc_id"),
-                                              F.xxhash64(F.coalesce("text", F.lit(""))).alias("th")))
-    return (at.join(spans.select(F.struct("doc_id", "th").alias("spans_of"), "spans"), "spans_of", "left")
-            .select(*names, "spans").mapInPandas(run, schema))
+    at = docs.withColumns({"id_of": F.col("doc_id").cast("long"), "text_hash": F.hash(F.coalesce("text", F.lit("")))})
+    return (at.join(spans.select(F.col("doc_id").alias("id_of"), F.col("spans").alias("spans_of")), "id_of", "left")
+            .select(*names, "text_hash", "spans_of").mapInPandas(run, schema))
 
 
 def op2_run_length_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
