@@ -28,6 +28,40 @@ def id_text(docs: DataFrame) -> DataFrame:
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
+# A batch with a null among longs reaches pandas as doubles, which cannot hold every id: null ids travel as this
+# number, which no document may have.
+NO_ID = -(1 << 63)
+
+
+def any_id(docs: DataFrame) -> DataFrame:
+    """``id_text`` with null ids as ``NO_ID``; ``null_ids`` turns them back."""
+    return id_text(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID)))
+
+
+def null_ids(df: DataFrame) -> DataFrame:
+    return df.withColumn("doc_id", F.nullif(F.col("doc_id"), F.lit(NO_ID)))
+
+
+def with_texts(docs: DataFrame, change, drop: tuple = ()) -> DataFrame:
+    """``docs`` with the texts that ``change(batch)`` gives, a list for each Arrow batch, and ``n_chars``, if there,
+    to match wherever a text is another; all other columns pass as they are, those of ``drop`` go."""
+    import pyarrow as pa
+
+    names = [c for c in docs.columns if c not in drop]
+
+    def run(batches):
+        for batch in batches:
+            old, new = batch.column("text").to_pylist(), change(batch)
+            columns = {c: batch.column(c) for c in names}
+            columns["text"] = pa.array(new, batch.column("text").type)
+            if "n_chars" in names:
+                kind = batch.column("n_chars").type
+                columns["n_chars"] = pa.array(
+                    [n if a == b else len(b) for n, a, b in zip(batch.column("n_chars").to_pylist(), old, new, strict=True)], kind)
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+    return docs.mapInArrow(run, docs.select(names).schema)
+
+
 def written(df: DataFrame, name: str, compression: str = "zstd", partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` under the shared scratch folder and read it back: lineage is cut by files that every
     executor sees, so a lost executor costs a re-read and nothing is computed twice."""

@@ -24,7 +24,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
-from tandem.llm.common import documents, id_text, prepare, slices
+from tandem.llm.common import any_id, documents, null_ids, prepare, slices
 from tandem.llm.tokens import PairTable, cut_rows, file, same_size
 
 SPACE = "▁"
@@ -162,9 +162,9 @@ IDS = "doc_id long, variant int, ids binary, bits int"
 
 def encode(docs: DataFrame, model: str, rate: float = RATE, seed: int = SEED) -> DataFrame:
     """doc_id, variant, ids, bits of every document: a map, nothing is shuffled. Null texts are empty and have no ids;
-    rows with equal ids and texts are cut alike; null ids stay and share a variant."""
+    rows with equal ids and texts are cut alike; null ids stay, as ``NO_ID``, and share a variant."""
     prepare(docs.sparkSession)
-    return id_text(docs).mapInPandas(_encoded(model, rate, seed), IDS)
+    return any_id(docs).mapInPandas(_encoded(model, rate, seed), IDS)
 
 
 def decode(ids: DataFrame, model: str) -> DataFrame:
@@ -184,5 +184,5 @@ def _digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def op9_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Segmentation of every document and the hash of the text that its ids decode to."""
     model = file("piece_bpe_32k.model")
-    return decode(encode(documents(spark, sf_dir), model), model).mapInPandas(
-        _digest, "doc_id long, variant int, n_tokens long, ids_crc32 long, decoded_sha256 string")
+    return null_ids(decode(encode(documents(spark, sf_dir), model), model).mapInPandas(
+        _digest, "doc_id long, variant int, n_tokens long, ids_crc32 long, decoded_sha256 string"))

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tandem.llm.common import documents, id_text, prepare, slices, small, written
+from tandem.llm.common import any_id, documents, null_ids, prepare, slices, small, written
 
 BUCKETS = 3 << 16  # two thirds for words, one third for word pairs
 KEEP = 0.8
@@ -104,7 +104,7 @@ def importance(docs: DataFrame, labels: DataFrame, keep: float = KEEP, buckets:
     prepare(spark)
     good = (labels.where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null")
             .select(F.col("doc_id").cast("long").alias("doc_id")).distinct())
-    rows = id_text(docs)
+    rows = any_id(docs)
     marked = rows.join(small(good.withColumn("good", F.lit(True)), 1), "doc_id", "left")
     sums = marked.select("text", F.coalesce("good", F.lit(False)).alias("good")).mapInPandas(
         _counts(buckets), "raw binary, target binary")
@@ -114,8 +114,8 @@ def importance(docs: DataFrame, labels: DataFrame, keep: float = KEEP, buckets:
     target = sum((np.frombuffer(bytes(r["target"]), np.int64) for r in first), np.zeros(buckets, np.int64))
     delta = (np.log((target + 1) / (target.sum() + buckets)) - np.log((raw + 1) / (raw.sum() + buckets))
              if target.sum() else np.zeros(buckets))
-    scored = written(rows.mapInPandas(_scored(delta, seed, temperature), "doc_id long, n_words long, "
-                                      "log_weight double, weight double, gumbel_key double"), "importance")
+    scored = written(null_ids(rows.mapInPandas(_scored(delta, seed, temperature), "doc_id long, n_words long, "
+                                               "log_weight double, weight double, gumbel_key double")), "importance")
     n = scored.count()
     k = int(np.ceil(n * keep))
     limit, tie = _kth(scored, k)

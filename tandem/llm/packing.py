@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tandem.llm.common import prepare, slices, small, written
+from tandem.llm.common import NO_ID, null_ids, prepare, slices, small, written
 from tandem.llm.tokens import encoder, file
 
 LENGTH = 1024
@@ -170,12 +170,12 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, targets: dict[str, float]
     targets: token share of each named source; other sources queue together as ``REST`` with the share left over.
     Without targets every source with ``OWN_QUEUE`` of all ids or more has its own queue and its own share of the
     corpus, so each window is a sample of the whole mixture. Null sources count as the source "", null texts are
-    empty (one end id), equal rows are packed as often as they occur, an empty table gives no piece.
+    empty (one end id), null ids stay, equal rows are packed as often as they occur, an empty table gives no piece.
     """
     spark = docs.sparkSession
     prepare(spark)
     source = F.coalesce(F.col("source").cast("string"), F.lit("")) if "source" in docs.columns else F.lit("")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), source.alias("source"))
     if targets is None:
         # shares of text, to choose the queues before anything is tokenised
@@ -203,8 +203,8 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, targets: dict[str, float]
                                       .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     bases = sums.select("part", "queue", base.alias("base"))
     schema = PIECES + (", ids binary" if with_ids else "")
-    return (ids.join(small(bases, 3), ["part", "queue"])
-            .mapInPandas(_pieces(queues, schedule, length, window, with_ids), schema))
+    return null_ids(ids.join(small(bases, 3), ["part", "queue"])
+                    .mapInPandas(_pieces(queues, schedule, length, window, with_ids), schema))
 
 
 def op7_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

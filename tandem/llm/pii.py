@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tandem.llm.common import documents, id_text, prepare, slices, written
+from tandem.llm.common import any_id, documents, null_ids, prepare, slices, with_texts, written
 
 # FIXED VALUES of the contract: kinds in order, and their patterns
 KINDS = ("email", "ip", "card", "phone")
@@ -236,9 +236,10 @@ def _find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def find(docs: DataFrame) -> DataFrame:
-    """Base spans of each document and then its candidates with their codes; written once. Null texts have none."""
+    """Base spans of each document and then its candidates with their codes; written once. Null texts have none, null
+    ids are ``NO_ID``."""
     prepare(docs.sparkSession)
-    return written(id_text(docs).mapInPandas(_find, FOUND), "pii-found")
+    return written(any_id(docs).mapInPandas(_find, FOUND), "pii-found")
 
 
 def accepted(spans: list[tuple[str, int, int]], codes: list[int], model: dict[int, float],
@@ -272,34 +273,28 @@ def _results(model: dict[int, float]):
 def detect(docs: DataFrame) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans of every row; null ids and repeated rows stay."""
     found = find(docs)
-    return found.mapInPandas(_results(fit(found)), "doc_id long, n_email long, n_ip long, n_card long, n_phone long, "
-                             "base_sha256 string, spans string")
-
-
-def redact(docs: DataFrame, column: str = "text") -> DataFrame:
-    """``docs`` with every span of ``column`` replaced by its kind in angle brackets; other columns stay. Nulls stay."""
-    model = fit(find(docs.select("doc_id", F.col(column).alias("text"))))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for text in pdf[column]:
-                if text is None:
-                    out.append(None)
-                    continue
-                base = base_spans(text)
-                more = candidates(text, base)
-                spans = accepted(base + [c[:3] for c in more], [c[3] for c in more], model)
-                parts, at = [], 0
-                for kind, a, b in sorted(spans, key=lambda s: (s[1], -s[2])):
-                    if a >= at:
-                        parts += [text[at:a], f"<{kind}>"]
-                        at = b
-                    else:  # overlaps the span before: what sticks out goes as well
-                        at = max(at, b)
-                out.append("".join([*parts, text[at:]]))
-            yield pdf.assign(**{column: out})
-    return docs.mapInPandas(run, docs.schema)
+    return null_ids(found.mapInPandas(_results(fit(found)), "doc_id long, n_email long, n_ip long, n_card long, "
+                                      "n_phone long, base_sha256 string, spans string"))
+
+
+def redacted(text: str, model: dict[int, float]) -> str:
+    base = base_spans(text)
+    more = candidates(text, base)
+    parts, at = [], 0
+    for kind, a, b in sorted(accepted(base + [c[:3] for c in more], [c[3] for c in more], model),
+                             key=lambda s: (s[1], -s[2])):
+        if a >= at:
+            parts += [text[at:a], f"<{kind}>"]
+        at = max(at, b)  # what sticks out of an overlap goes as well
+    return "".join([*parts, text[at:]])
+
+
+def redact(docs: DataFrame) -> DataFrame:
+    """``docs`` with every span of ``text`` replaced by its kind in angle brackets, and ``n_chars``, if there, to
+    match; other columns and null texts stay."""
+    model = fit(find(docs))
+    return with_texts(docs, lambda batch: [None if t is None else redacted(t, model)
+                                           for t in batch.column("text").to_pylist()])
 
 
 def op6_weak_supervision_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tandem.llm.common import id_text, prepare, slices
+from tandem.llm.common import any_id, null_ids, prepare, slices
 from tandem.llm.tokens import byte_symbols, file
 
 MEMO = 400_000
@@ -188,7 +188,7 @@ def count_prefixes(docs: DataFrame, tokenizer: str, limit: int = LIMIT, with_tab
     repeated rows stay."""
     prepare(docs.sparkSession)
     schema = "doc_id long, n_bytes long, n_tokens long, fits long" + (", changes binary" if with_table else "")
-    return id_text(docs).mapInPandas(_tables(tokenizer, limit, with_table), schema)
+    return null_ids(any_id(docs).mapInPandas(_tables(tokenizer, limit, with_table), schema))
 
 
 def op10_prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tandem.llm.common import documents, id_text, prepare, slices
+from tandem.llm.common import documents, id_text, prepare, slices, with_texts
 
 LENGTH = 50
 GRAM = 16
@@ -340,22 +340,16 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, buc
     """``docs`` with the texts that ``remove_repeats`` keeps, and ``n_chars``, if there, to match; other columns and
     rows without a ``doc_id`` or text stay as they are. What a cut leaves of a character of several bytes is dropped."""
     spans = _spans(_keyed(docs), length, gram, bucket_chars)
-    names, schema = docs.columns, docs.schema
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            text = [t if s is None or t is None else
-                    _split(t.encode("utf-8", "surrogatepass"), s, h)[1].decode("utf-8", "ignore")
-                    for t, h, s in zip(pdf["text"], pdf["text_hash"], pdf["spans_of"], strict=True)]
-            out = pdf[names].assign(text=text)
-            if "n_chars" in names:
-                out["n_chars"] = [n if s is None or t is None else len(t)
-                                  for n, t, s in zip(pdf["n_chars"], text, pdf["spans_of"], strict=True)]
-            yield out
+    def change(batch) -> list[str | None]:
+        columns = [batch.column(c).to_pylist() for c in ("text", "text_hash", "spans_of")]
+        return [t if s is None or t is None else
+                _split(t.encode("utf-8", "surrogatepass"), s, h)[1].decode("utf-8", "ignore")
+                for t, h, s in zip(*columns, strict=True)]
 
     at = docs.withColumns({"id_of": F.col("doc_id").cast("long"), "text_hash": F.hash(F.coalesce("text", F.lit("")))})
-    return (at.join(spans.select(F.col("doc_id").alias("id_of"), F.col("spans").alias("spans_of")), "id_of", "left")
-            .select(*names, "text_hash", "spans_of").mapInPandas(run, schema))
+    joined = at.join(spans.select(F.col("doc_id").alias("id_of"), F.col("spans").alias("spans_of")), "id_of", "left")
+    return with_texts(joined.select(*docs.columns, "text_hash", "spans_of"), change, ("text_hash", "spans_of"))
 
 
 def op2_run_length_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:

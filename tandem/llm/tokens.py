@@ -187,6 +187,12 @@ class PieceEncoder:
         ids = b"".join(ids)
         self.memo.update(zip(pieces, (ids[a:b] for a, b in zip([0, *ends], ends, strict=False)), strict=True))
 
+    def _pieces(self, text: str) -> list[str]:
+        if not self.merges.lower:
+            return _PIECE.findall(text)
+        # a file that lower-cases and drops white space: words alone, and fewer of them
+        return (text.lower() if text.isascii() or _LATIN.fullmatch(text) else text).split()
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian integers of ``dtype``."""
         memo = self.memo
@@ -194,7 +200,7 @@ class PieceEncoder:
             memo.clear()
         odd = [i for i, t in enumerate(texts) if _ODD.search(t)]
         whole = dict(zip(odd, self._library([texts[i] for i in odd]), strict=True))
-        cut = [() if i in whole else _PIECE.findall(t) for i, t in enumerate(texts)]
+        cut = [() if i in whole else self._pieces(t) for i, t in enumerate(texts)]
         new: set[str] = set()
         for pieces in cut:
             new.update(pieces)

@@ -114,6 +114,15 @@ def test_prefix_tables(spark, docs):
         assert prefix_counts.prefix_counts(c.changes(t)).tolist() == want, t
 
 
+def test_big_and_null_ids(spark):
+    big = (1 << 60) + 1
+    df = spark.createDataFrame([(big, "a b"), (None, "c d e"), (None, None)], "doc_id long, text string").coalesce(1)
+    got = prefix_counts.count_prefixes(df, file("byte_bpe_50k.json")).select("doc_id", "n_tokens").collect()
+    assert sorted((str(r[0]), r[1]) for r in got) == sorted([("None", 0), ("None", 3), (str(big), 2)])
+    got = packing.pack(df, file("byte_bpe_50k.json"), 0).select("doc_id", "doc_tokens").collect()
+    assert sorted((str(r[0]), r[1]) for r in got) == sorted([("None", 1), ("None", 4), (str(big), 3)])
+
+
 def test_counts_match_the_library(spark, docs):
     lib = Tokenizer.from_file(file("byte_bpe_50k.json"))
     text = {d["doc_id"]: d["text"] or "" for d in docs.collect()}
