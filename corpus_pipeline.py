@@ -7,7 +7,6 @@ result and hand it on. All stages but the last return the columns of ``documents
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tandem.llm import overlap_join, packing, pii, risk_rules, run_index
 from tandem.llm.common import documents, prepare, small, written
@@ -41,11 +40,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with personal data replaced by its kind."""
-    clean = pii.redact(docs)
-    if "n_chars" not in docs.columns:
-        return clean
-    kind = docs.schema["n_chars"].dataType
-    return clean.withColumn("n_chars", F.coalesce(F.length("text").cast(kind), "n_chars"))
+    return pii.redact(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
