@@ -50,22 +50,28 @@ def _block_topk(k: int):
         ids = it["_iid"].to_numpy(dtype=np.int64)
         scores = qm @ im.T
         kk = min(k, len(ids))
-        # stable sort on -score keeps the smaller id first among ties
-        order = np.argsort(-scores, axis=1, kind="stable")[:, :kk]
-        top = np.take_along_axis(scores, order, axis=1)
-        return pd.DataFrame({
-            "qid": np.repeat(q["qid"].to_numpy(dtype=np.int64), kk),
-            "item_id": ids[order].reshape(-1),
-            "score": top.reshape(-1),
-        })
+        # all scores down to the k-th of a query (a partition, no full sort),
+        # then the few that are left in order, ties by the smaller id
+        bar = np.partition(scores, len(ids) - kk, axis=1)[:, len(ids) - kk]
+        row, col = np.nonzero(scores >= bar[:, None])
+        order = np.lexsort((col, -scores[row, col], row))
+        row, col = row[order], col[order]
+        first = np.searchsorted(row, row, side="left")
+        keep = np.arange(len(row)) - first < kk
+        row, col = row[keep], col[keep]
+        return pd.DataFrame({"qid": q["qid"].to_numpy(dtype=np.int64)[row], "item_id": ids[col],
+                             "score": scores[row, col]})
     return run
 
 
 def topk_inner_product(queries: DataFrame, items: DataFrame, k: int,
                        query_block_rows: int = 2048, item_block_rows: int = 8192,
-                       query_id: str = "id") -> DataFrame:
+                       query_id: str = "id", cells: int | None = None) -> DataFrame:
     """For every query vector, the ``k`` items with the largest inner
     product (ties: smaller item id). ``k`` is clamped to the item count.
+    Blocks have at most the given rows, and fewer if that makes ``cells``
+    tasks (default: the cluster's parallelism); the side that is cut into
+    fewer blocks is replicated less, so the smaller blocks go to the queries.
 
     ``queries``: (``query_id``, features); ``items``: (id, features).
     Returns (qid, item_id, score).
@@ -75,8 +81,9 @@ def topk_inner_product(queries: DataFrame, items: DataFrame, k: int,
     nq, ni = q.count(), items.count()
     if nq == 0 or ni == 0:
         return q.sparkSession.createDataFrame([], TOPK_SCHEMA)
-    n_qb = max(1, math.ceil(nq / query_block_rows))
-    n_ib = max(1, math.ceil(ni / item_block_rows))
+    cells = cells or q.sparkSession.sparkContext.defaultParallelism
+    n_ib = max(1, math.ceil(ni / item_block_rows), min(2, ni // max(k, 64)))
+    n_qb = max(1, math.ceil(nq / query_block_rows), min(math.ceil(cells / n_ib), math.ceil(nq / 64)))
     qb = q.select("qid", F.col("features").alias("_qf"),
                   F.pmod(F.xxhash64("qid"), F.lit(n_qb)).cast("int").alias("_qb"),
                   F.explode(F.sequence(F.lit(0), F.lit(n_ib - 1)).cast("array<int>")).alias("_ib"))
