@@ -26,8 +26,8 @@ ALPHA = 0.02
 DELTA = 0.05
 STEPS = 40  # cutoffs tried for each rule: 1/40, 2/40, ... of its range
 # FIXED VALUES of the contract
-SPACES = " \t\n\x0b\x0c\r"
-SYMBOLS = "#*$%&|<>"
+SPACES = "[\\x20\\x09-\\x0D]"
+SYMBOLS = "[#*$%&|<>]"
 LEAST_WORDS = 50
 
 # rule: (numerator, denominator, range): the number is numerator / denominator, in [0, range]
@@ -45,20 +45,26 @@ def _let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def _without(text: Column, chars: str) -> Column:
-    return F.length(text) - F.length(F.translate(text, chars, ""))
+def _count(text: Column, chars: str) -> Column:
+    return F.regexp_count(text, F.lit(chars)).cast("long")
 
 
 def _repeated(words: Column) -> Column:
-    """Words that lie in a 3-word window found twice or more; windows are compared as whole strings.
+    """Words that lie in a 3-word window found twice or more.
 
-    Windows are sorted with their places, neighbours with equal windows mark both places, and every marked place
-    covers three words less what the next marked place covers again.
+    Windows are sorted by hash and place; neighbours of equal hash whose words are equal as well mark both places, and
+    every marked place covers three words less what the next marked place covers again.
     """
-    def marked(s: Column) -> Column:
-        same = F.zip_with(F.slice(s, 1, F.size(s) - 1), F.slice(s, 2, F.size(s) - 1),
-                          lambda a, b: F.when(a["w"] == b["w"], F.array(a["i"], b["i"])))
-        return F.sort_array(F.array_distinct(F.flatten(F.filter(same, lambda x: x.isNotNull()))))
+    def places(w: Column, s: Column) -> Column:
+        def equal(a: Column, b: Column) -> Column:
+            same = a["h"] == b["h"]
+            for k in range(3):
+                same = same & (F.get(w, a["i"] + k) == F.get(w, b["i"] + k))
+            return same
+
+        both = F.zip_with(F.slice(s, 1, F.size(s) - 1), F.slice(s, 2, F.size(s) - 1),
+                          lambda a, b: F.when(equal(a, b), F.array(a["i"], b["i"])))
+        return F.sort_array(F.array_distinct(F.flatten(F.filter(both, lambda x: x.isNotNull()))))
 
     def covered(p: Column) -> Column:
         gaps = F.zip_with(F.slice(p, 1, F.size(p) - 1), F.slice(p, 2, F.size(p) - 1),
@@ -66,13 +72,11 @@ def _repeated(words: Column) -> Column:
         return F.aggregate(gaps, F.lit(3), lambda s, g: s + g)
 
     def count(w: Column) -> Column:
-        n = F.size(w)
         windows = F.transform(
-            F.sequence(F.lit(1), n - 2),
-            lambda i: F.struct(F.concat_ws(" ", F.get(w, i - 1), F.get(w, i), F.get(w, i + 1)).alias("w"),
-                               i.alias("i")))
-        places = _let(F.array_sort(windows), marked)
-        return _let(places, lambda p: F.when(F.size(p) == 0, F.lit(0)).otherwise(covered(p)))
+            F.sequence(F.lit(0), F.size(w) - 3),
+            lambda i: F.struct(F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)).alias("h"), i.alias("i")))
+        at = _let(F.sort_array(windows), lambda s: places(w, s))
+        return _let(at, lambda p: F.when(F.size(p) == 0, F.lit(0)).otherwise(covered(p)))
 
     return F.when(F.size(words) < 4, F.lit(0)).otherwise(_let(words, count))
 
@@ -86,15 +90,13 @@ def measured(docs: DataFrame, carry: bool = False) -> DataFrame:
                        *([F.struct(*docs.columns).alias("row")] if carry else []))
     more = ["row"] if carry else []
     t = F.col("text")
-    words = F.filter(F.split(t, "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
-    lines = F.filter(F.split(t, "\n"), lambda x: F.length(F.translate(x, SPACES, "")) > 0)
+    words = F.array_remove(F.split(t, SPACES + "+"), "")
+    lines = F.filter(F.split(t, "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
     counts = _let(words, lambda w: F.struct(F.size(w).alias("n"), _repeated(w).alias("r")))
     by_line = _let(lines, lambda x: F.struct(F.size(x).alias("n"), F.size(F.array_distinct(x)).alias("d")))
-    bare = F.translate(t, SPACES, "")
     return (rows.select("doc_id", "stratum", *more, counts.alias("w"), by_line.alias("l"),
-                        F.length(bare).cast("long").alias("word_chars"), _without(t, SYMBOLS).cast("long").alias("n_symbols"),
-                        _without(t, "ABCDEFGHIJKLMNOPQRSTUVWXYZ").cast("long").alias("n_upper"),
-                        _without(t, "!").cast("long").alias("n_bangs"))
+                        (F.length(t) - _count(t, SPACES)).alias("word_chars"), _count(t, SYMBOLS).alias("n_symbols"),
+                        _count(t, "[A-Z]").alias("n_upper"), _count(t, "!").alias("n_bangs"))
             .select("doc_id", "stratum", *more, F.col("w.n").cast("long").alias("n_words"), "word_chars", "n_symbols",
                     (F.col("l.n") - F.col("l.d")).cast("long").alias("n_dup_lines"),
                     F.col("w.r").cast("long").alias("n_repeat_words"), "n_upper", "n_bangs",
