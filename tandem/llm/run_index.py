@@ -31,6 +31,7 @@ from tandem.llm.common import documents, id_text, prepare, slices, with_texts
 
 LENGTH = 50
 GRAM = 16
+HASH = np.uint64(((1 << 48) - 1) << 16)  # the bits of a hash that are sent; a false match only costs a look
 BUCKET_CHARS = 2 << 20  # bytes of the corpus for each bucket
 
 
@@ -68,7 +69,7 @@ def anchors(data: np.ndarray, ends: np.ndarray, length: int = LENGTH, gram: int
     last = np.append(first[1:], len(at)) - 1
     ok = whole[first]
     first, last = first[ok], last[ok]
-    return h[at[first]], first, last, doc[first]
+    return h[at[first]] & HASH, first, last, doc[first]
 
 
 def _grouped(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -108,7 +109,7 @@ def _contexts(length: int, gram: int, buckets: int):
                 key, first, last, doc = key[hit], first[hit], last[hit], doc[hit]
                 begin = np.concatenate([[0], ends[:-1]])
                 flow, ids, ths = data.tobytes(), part["doc_id"].to_numpy(), part["th"].to_numpy()
-                for b, f, e, d, s in zip((key % np.uint64(buckets)).tolist(), first.tolist(), (last + length).tolist(),
+                for b, f, e, d, s in zip(((key >> np.uint64(16)) % np.uint64(buckets)).tolist(), first.tolist(), (last + length).tolist(),
                                          doc.tolist(), (first - begin[doc]).tolist(), strict=True):
                     own = held.get(b)
                     if own is None:
@@ -117,7 +118,7 @@ def _contexts(length: int, gram: int, buckets: int):
                     own[1].append(ids[d])
                     own[2].append(ths[d])
                     own[3].append(s)
-            yield pd.DataFrame([(b, _packed(*own), zlib.compress(b"".join(own[0]), 1)) for b, own in held.items()],
+            yield pd.DataFrame([(b, _packed(*own), zlib.compress(b"".join(own[0]), 6)) for b, own in held.items()],
                                columns=[c.split()[0] for c in CONTEXTS.split(", ")])
     return run
 
