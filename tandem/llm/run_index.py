@@ -32,6 +32,7 @@ from tandem.llm.common import documents, id_text, prepare, slices, with_texts
 LENGTH = 50
 GRAM = 16
 HASH = np.uint64(((1 << 48) - 1) << 16)  # the bits of a hash that are sent; a false match only costs a look
+PIECE = 1 << 18  # characters worked on at a time: the arrays stay in a core's cache
 BUCKET_CHARS = 2 << 20  # bytes of the corpus for each bucket
 
 
@@ -79,7 +80,7 @@ def _grouped(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 def _keys(length: int, gram: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """(hash, document) pairs, each once for a document."""
-        for pdf in slices(batches, "text", 1 << 20):
+        for pdf in slices(batches, "text", PIECE):
             key, _, _, doc = anchors(*_grouped([t.encode("utf-8", "surrogatepass") for t in pdf["text"]]), length, gram)
             order = np.lexsort((key, doc))
             key, doc = key[order], doc[order]
@@ -97,37 +98,38 @@ def _contexts(length: int, gram: int, buckets: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in slices(batches, "text"):
             held: dict[int, list] = {}
-            for lo in range(0, len(pdf), 256):
-                part = pdf.iloc[lo:lo + 256]
+            for part in slices(iter([pdf]), "text", PIECE):
                 texts = [t.encode("utf-8", "surrogatepass") for t in part["text"]]
                 data, ends = _grouped(texts)
                 key, first, last, doc = anchors(data, ends, length, gram)
                 sizes = [len(k) for k in part["keys"]]
                 wanted = np.concatenate([np.asarray(k, np.int64) for k in part["keys"]]).view(np.uint64)
                 of = np.repeat(np.arange(len(part)), sizes).astype(np.uint64)
-                hit = np.isin(_mix(key, doc.astype(np.uint64)), _mix(wanted, of))
-                key, first, last, doc = key[hit], first[hit], last[hit], doc[hit]
-                begin = np.concatenate([[0], ends[:-1]])
-                flow, ids, ths = data.tobytes(), part["doc_id"].to_numpy(), part["th"].to_numpy()
-                for b, f, e, d, s in zip(((key >> np.uint64(16)) % np.uint64(buckets)).tolist(), first.tolist(), (last + length).tolist(),
-                                         doc.tolist(), (first - begin[doc]).tolist(), strict=True):
-                    own = held.get(b)
-                    if own is None:
-                        own = held[b] = ([], [], [], [])
-                    own[0].append(flow[f:e])
-                    own[1].append(ids[d])
-                    own[2].append(ths[d])
-                    own[3].append(s)
-            yield pd.DataFrame([(b, _packed(*own), zlib.compress(b"".join(own[0]), 6)) for b, own in held.items()],
+                hit = np.flatnonzero(np.isin(_mix(key, doc.astype(np.uint64)), _mix(wanted, of)))
+                bucket = ((key[hit] >> np.uint64(16)) % np.uint64(buckets)).astype(np.int64)
+                order = np.argsort(bucket, kind="stable")
+                hit, bucket = hit[order], bucket[order]
+                first, last, doc = first[hit], last[hit], doc[hit]
+                places = np.zeros(len(hit), PLACE)
+                places["doc"], places["th"] = part["doc_id"].to_numpy()[doc], part["th"].to_numpy()[doc]
+                places["start"] = first - np.concatenate([[0], ends[:-1]])[doc]
+                places["size"] = last + length - first
+                flow = data.tobytes()
+                ctx = [flow[f:e] for f, e in zip(first.tolist(), (last + length).tolist(), strict=True)]
+                cut = np.flatnonzero(np.diff(bucket)) + 1
+                for a, b in zip([0, *cut.tolist()], [*cut.tolist(), len(hit)], strict=True):
+                    if a < b:
+                        own = held.setdefault(int(bucket[a]), ([], []))
+                        own[0].extend(ctx[a:b])
+                        own[1].append(places[a:b])
+            yield pd.DataFrame([(b, _packed(np.concatenate(own[1])), zlib.compress(b"".join(own[0]), 4)) for b, own in held.items()],
                                columns=[c.split()[0] for c in CONTEXTS.split(", ")])
     return run
 
 
-def _packed(ctx: list[bytes], docs: list[int], ths: list[int], starts: list[int]) -> bytes:
+def _packed(places: np.ndarray) -> bytes:
     """Places of contexts, column by column, so that like bytes stand together."""
-    p = np.zeros(len(ctx), PLACE)
-    p["doc"], p["start"], p["size"], p["th"] = docs, starts, [len(c) for c in ctx], ths
-    return zlib.compress(b"".join(p[f].tobytes() for f in PLACE.names), 1)
+    return zlib.compress(b"".join(places[f].tobytes() for f in PLACE.names), 4)
 
 
 def _unpacked(data: bytes) -> dict[str, np.ndarray]:
