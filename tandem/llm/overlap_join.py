@@ -28,11 +28,12 @@ from pyspark.sql import functions as F
 from tandem.llm.common import documents, id_text, prepare, slices, small, written
 from tandem.llm.components import components
 
-BLOCK = 1 << 20  # elements of a block of a family
+BLOCK = 1 << 18  # elements of a block of a family
 MEMO = 500_000
 FEW = 64  # sizes up to which the least elements are the keys
 LOAD = 8  # elements a part
 PROBES = 64  # long lists probed at a time
+MERGE = 12  # entries merged in the time of one binary probe
 
 
 class Shingles:
@@ -184,7 +185,13 @@ def t_occurrence(sets: list[np.ndarray], queries: list[int], index: list[int], n
             found, count, bar = found[ok], count[ok], bar[ok]
             if not len(found):
                 break
-            want = long[lo:lo + PROBES, None] * len(sets) + found[None, :]
+            some = long[lo:lo + PROBES]
+            if (ends[some] - starts[some]).sum() < MERGE * len(some) * len(found):
+                # many candidates for lists of this length: merging them is cheaper than probing for each
+                held = np.concatenate([members[starts[a]:ends[a]] for a in some])
+                count = count + np.bincount(held, minlength=len(sets))[found]
+                continue
+            want = some[:, None] * len(sets) + found[None, :]
             p = np.searchsorted(code, want)
             p[p == len(code)] = 0
             count = count + (code[p] == want).sum(axis=0)
