@@ -62,16 +62,24 @@ class Pieces:
             self.bytes[i] = p.replace(SPACE, " ").encode()
         for b, i in enumerate(self.byte):
             self.bytes[i] = bytes([b])
-        self.memo: dict[tuple[int, str], bytes] = {}
+        # symbol of every code point; the model's space sign itself goes to bytes, a space is that sign
+        self.of_char = np.full(0x110000, self.other, np.int64)
+        for c, s in self.symbol.items():
+            self.of_char[ord(c)] = s
+        self.of_char[ord(" ")], self.of_char[ord(SPACE)] = self.symbol.get(SPACE, self.other), self.other
+        self.memo: dict[tuple[int, float, int], dict[str, bytes]] = {}  # by variant, rate and seed
 
     def _cut(self, units: list[str], variant: int, rate: float, seed: int) -> list[bytes]:
         out = [b""] * len(units)
         limit, key = np.uint64(int(rate * 2**32)), np.uint64(seed * 1_000_003 + variant)
-        get, other = self.symbol.get, self.other
         for rows in same_size([len(u) for u in units]):
             own = [units[r] for r in rows]
-            sym = np.array([[get(SPACE if c == " " else c if c != SPACE else "", other) for c in u] for u in own], np.int64)
-            base = np.array([xxhash.xxh3_64_intdigest(u.encode("utf-8", "surrogatepass")) for u in own], np.uint64)
+            points = np.frombuffer("".join(own).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(own), -1)
+            sym = self.of_char[points]
+            base = np.zeros(len(own), np.uint64)
+            for k in range(points.shape[1]):
+                base = (base ^ points[:, k]) * np.uint64(0x9E3779B97F4A7C15)
+                base ^= base >> np.uint64(32)
 
             def skip(row: np.ndarray, begin: np.ndarray, end: np.ndarray, base=base) -> np.ndarray:
                 x = base[row][:, None] ^ (begin.astype(np.uint64) << np.uint64(32)) ^ end.astype(np.uint64)
@@ -103,13 +111,16 @@ class Pieces:
         if not text:
             return b""
         units = _UNIT.findall(" " + text)
-        memo = self.memo
-        if len(memo) > MEMO:
+        return b"".join(map(self.known(set(units), variant, rate, seed).__getitem__, units))
+
+    def known(self, units: set[str], variant: int, rate: float, seed: int) -> dict[str, bytes]:
+        """The memo of a variant at this rate and seed, with ``units`` in it."""
+        memo = self.memo.setdefault((variant, rate, seed), {})
+        if len(memo) > MEMO // VARIANTS:
             memo.clear()
-        keys = [(variant, u) for u in units]
-        if new := [k[1] for k in set(keys).difference(memo)]:
-            memo.update(zip([(variant, u) for u in new], self._cut(new, variant, rate, seed), strict=True))
-        return b"".join([memo[k] for k in keys])
+        if new := list(units.difference(memo)):
+            memo.update(zip(new, self._cut(new, variant, rate, seed), strict=True))
+        return memo
 
     def decode(self, ids: bytes) -> str:
         """The text that was encoded.
@@ -138,13 +149,10 @@ def _encoded(path: str, rate: float, seed: int):
             ids = [b""] * len(pdf)
             for v in set(variants):
                 rows = [i for i, x in enumerate(variants) if x == v]
-                units = set()
-                for i in rows:
-                    units.update(_UNIT.findall(" " + pdf["text"].iloc[i]))
-                new = [u for u in units if (v, u) not in p.memo]
-                p.memo.update(zip([(v, u) for u in new], p._cut(new, v, rate, seed), strict=True))
-                for i in rows:
-                    ids[i] = p.encode(pdf["text"].iloc[i], v, rate, seed)
+                cut = {i: _UNIT.findall(" " + pdf["text"].iloc[i]) if pdf["text"].iloc[i] else [] for i in rows}
+                memo = p.known(set().union(*cut.values()), v, rate, seed)
+                for i, units in cut.items():
+                    ids[i] = b"".join(map(memo.__getitem__, units))
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "variant": variants, "ids": ids, "bits": p.dtype.itemsize * 8})
     return run
 

@@ -130,6 +130,7 @@ def test_dropout_is_lossless_seeded_and_plain_at_rate_zero(spark):
     assert cut == {row["doc_id"]: bytes(row["ids"]) for row in encode(df.repartition(3), MODEL).collect()}
     assert cut != {row["doc_id"]: bytes(row["ids"]) for row in encode(df, MODEL, seed=5).collect()}
     p = pieces(MODEL)
+    p.memo.clear()
     for t in texts:
         if t and "▁" not in t and "\x00" not in t:
             assert np.frombuffer(p.encode(t, 0, 0.0), p.dtype).tolist() == sp.encode(t), t
