@@ -72,14 +72,16 @@ class PairTable:
             todo = todo[~hit & (got != -1)]
         return out
 
-    def merge(self, sym: np.ndarray, skip=None) -> tuple[np.ndarray, np.ndarray]:
+    def merge(self, sym: np.ndarray, skip=None, path: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Merge rows of equally many symbols (not negative): in each round every row takes its merge of least rank,
         leftmost on ties. ``skip(rows, begins, ends)`` may rule out candidates by the places they span. Returns the
-        rows, each filled up to its count of symbols, and the counts."""
+        rows, each filled up to its count of symbols, and the counts; ``path``, of the shape of ``sym``, receives
+        begin << 32 | end of each row's merges in their order."""
         sym = sym.copy()
         n = np.full(len(sym), sym.shape[1])
         live, cur, none = np.arange(len(sym)), sym.copy(), np.int64(1 << 40)
-        begin = np.tile(np.arange(sym.shape[1] + 1), (len(sym), 1)) if skip else None
+        placed = skip is not None or path is not None
+        begin = np.tile(np.arange(sym.shape[1] + 1), (len(sym), 1)) if placed else None
         while cur.shape[1] > 1 and len(live):
             slot = self.find(cur[:, :-1].ravel(), cur[:, 1:].ravel()).reshape(len(live), -1)
             rank = np.where(slot >= 0, self.rank[slot], none)
@@ -91,10 +93,13 @@ class PairTable:
             live, cur, p, slot = live[go], cur[go], p[go], slot[go]
             row = np.arange(len(live))
             cur[row, p] = self.made[slot[row, p]]
+            if path is not None:
+                own = begin[go]
+                path[live, sym.shape[1] - n[live]] = own[row, p] << 32 | own[row, p + 2]
             n[live] -= 1
             keep = np.ones((len(live), cur.shape[1] + 1), bool)  # a row loses one symbol a round
             keep[row, p + 1] = False
-            if skip:
+            if placed:
                 begin = begin[go][keep].reshape(len(live), cur.shape[1])
             cur = cur[keep[:, :-1]].reshape(len(live), cur.shape[1] - 1)
         if len(live):

@@ -138,6 +138,39 @@ def test_dropout_is_lossless_seeded_and_plain_at_rate_zero(spark):
     assert len(long) > 3000 or len(np.frombuffer(cut[len(texts) - 2], p.dtype)) > 3000  # some variant drops a merge
 
 
+def test_every_occurrence_draws_anew():
+    from tandem.llm import dropout
+    p = pieces(MODEL)
+    text = "international word " * 3000
+    cuts = {}
+    for doc in (7, 8):
+        ids = np.frombuffer(p.encode(text, doc), p.dtype).tolist()
+        words, own = [], []
+        for i in ids:  # a piece that starts with a space starts a word
+            if p.bytes[i].startswith(b" ") and own:
+                words.append(tuple(own))
+                own = []
+            own.append(i)
+        words.append(tuple(own))
+        cuts[doc] = [w for w in words if b"".join(p.bytes[i] for i in w) == b" word"]
+    whole = [np.mean([len(w) == 1 for w in c]) for c in cuts.values()]
+    assert all(0.5 < x < 0.95 for x in whole)  # some occurrences of a document are split and some are not
+    assert len({w for c in cuts.values() for w in c}) > 4
+    # the tree of a unit gives what merging each occurrence by itself gives
+    r = random.Random(8)
+    texts = [" ".join(r.choice(["the", "international", "日本", "▁a", "Straßenbahn", "x" * 30, "", "💩s"]) for _ in range(400))
+             for _ in range(5)]
+    tree = p.encode_all(texts, [1, 2, 3, 3, -5], 0.3)
+    assert tree == [p.encode(t, d, 0.3) for t, d in zip(texts, [1, 2, 3, 3, -5], strict=True)]
+    p._forget()
+    kept, dropout.LONGEST = dropout.LONGEST, 0
+    try:
+        assert tree == p.encode_all(texts, [1, 2, 3, 3, -5], 0.3)
+    finally:
+        dropout.LONGEST = kept
+        p._forget()
+
+
 def test_pii_rows(spark):
     rows = [(1, "mail a.b@mail1.example.com password=f2f5acd241f026fd29 x", "k"), (2, None, "k"), (3, "", "k"),
             (4, "nothing here " * 2000, "k"), (5, "nothing here " * 2000, "k"), (None, "1.2.3.4", "k")]
