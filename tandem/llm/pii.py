@@ -34,10 +34,11 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 ADDED = ("address", "number", "secret")
 _ADDED = {
-    "address": re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63} ?(?:\[at\]|\(at\)) ?[A-Za-z0-9-]{1,63}"
-                          r"(?: ?(?:\[dot\]|\(dot\)|\.) ?[A-Za-z0-9-]{1,63}){1,4}"),
+    "address": re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*+ ?(?:\[at\]|\(at\)) ?[A-Za-z0-9-]++"
+                          r"(?: ?(?:\[dot\]|\(dot\)|\.) ?[A-Za-z0-9-]++)++"),
     "number": re.compile(r"(?<![0-9A-Za-z+._-])\(?[0-9]{2,5}\)?(?:[\x20.-]?\(?[0-9]{2,5}\)?){1,5}(?![0-9A-Za-z_]|[.-][0-9])"),
-    "secret": re.compile(r"(?<![A-Za-z0-9])[A-Za-z0-9+/_-]{12,200}={0,2}(?![A-Za-z0-9+/=_-])"),
+    # a whole run of key characters, scanned once: no later start in it ends elsewhere
+    "secret": re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{12,}+={0,2}+(?![A-Za-z0-9+/=_-])"),
 }
 # gazetteers: cue words in the languages of the corpus
 CUES = {
@@ -85,7 +86,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
             end = at + 1 if start < at else end
         at = text.find("@", max(at + 1, end))
     for m in _IP.finditer(text):
-        if all(len(p) < 20 and int(p) <= 255 for p in m[0].split(".")):
+        if all(len(p) <= 3 and int(p or 0) <= 255 for p in (q.lstrip("0") for q in m[0].split("."))):
             out.append(("ip", m.start(), m.end()))
     for m in _CARD.finditer(text):
         digits = m[0].replace(" ", "").replace("-", "")

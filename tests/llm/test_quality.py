@@ -181,3 +181,20 @@ def test_pii_rows(spark):
     assert pii.detect(df.limit(0)).count() == 0
     clean = pii.redact(df.select("doc_id", "text")).collect()
     assert {r["doc_id"]: r["text"] for r in clean}[2] is None and "a.b@" not in str(clean)
+
+
+def test_pii_candidates_of_any_length():
+    r = random.Random(2)
+    for n in (12, 40, 200, 201, 5000):
+        for more in ("", "-_/+"):
+            key = "k1" + "".join(r.choice("abcDEF0123456789" + more) for _ in range(n - 4)) + "Z9"
+            for end in ("", "=", "=="):
+                text = f"token: {key}{end} x"
+                assert ("secret", 7, 7 + n + len(end)) in [c[:3] for c in pii.candidates(text, [])]
+                assert "secret" not in [c[0] for c in pii.candidates(f"token: {key}=== x", [])]
+    local, labels = "ab." * 40 + "c", " [dot] ".join(["d" * 70, *"efghij"])
+    text = f"write {local} [at] {labels} !"
+    assert [c[:3] for c in pii.candidates(text, []) if c[0] == "address"] == [("address", 6, len(text) - 2)]
+    assert pii.base_spans(f"{'0' * 30}1.2.{'0' * 5000}.255") == [("ip", 0, 31 + 3 + 5000 + 4)]
+    assert pii.base_spans(f"1.2.3.{'0' * 30}256") == [] and pii.base_spans(f"1.2.3.{'9' * 5000}") == []
+    pii.candidates("a-" * 200_000 + "1===", [])  # one scan
