@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tandem.llm.common import any_id, null_ids, prepare, slices
+from tandem.llm.common import NO_ID, any_id, null_ids, prepare, slices, written
 from tandem.llm.tokens import byte_symbols, file
 
 MEMO = 400_000
@@ -191,9 +191,25 @@ def count_prefixes(docs: DataFrame, tokenizer: str, limit: int = LIMIT, with_tab
     return null_ids(any_id(docs).mapInPandas(_tables(tokenizer, limit, with_table), schema))
 
 
+def _read(limit: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in slices(batches, "changes"):
+            tables = (prefix_counts(zlib.decompress(c)) for c in pdf["changes"])
+            out = [(int(t[-1]), longest_prefix(t, limit)) for t in tables]
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "n_bytes": pdf["n_bytes"],
+                                "n_tokens": [n for n, _ in out], "fits": [f for _, f in out]})
+    return run
+
+
+def read_tables(stored: DataFrame, limit: int = LIMIT) -> DataFrame:
+    """doc_id, n_bytes, n_tokens, fits of stored tables: the last two are read off ``changes`` alone."""
+    rows = stored.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "n_bytes", "changes")
+    return null_ids(rows.mapInPandas(_read(limit), "doc_id long, n_bytes long, n_tokens long, fits long"))
+
+
 def op10_prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, n_bytes, n_tokens, over_limit, fits, read off the prefix tables of all documents."""
+    """doc_id, n_bytes, n_tokens, over_limit, fits, read off the stored prefix tables of all documents."""
     from tandem.llm.common import documents
 
-    counts = count_prefixes(documents(spark, sf_dir), file("byte_bpe_50k.json"), with_table=False)
+    counts = read_tables(written(count_prefixes(documents(spark, sf_dir), file("byte_bpe_50k.json")), "prefix-tables"))
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > LIMIT).alias("over_limit"), "fits")

@@ -129,3 +129,20 @@ def test_counts_match_the_library(spark, docs):
     for r in prefix_counts.count_prefixes(docs, file("byte_bpe_50k.json"), with_table=False).collect():
         t = text[r["doc_id"]]
         assert (r["n_bytes"], r["n_tokens"]) == (len(t.encode()), len(lib.encode(t, add_special_tokens=False).ids))
+
+
+def test_query_counts_come_from_stored_tables(spark, tmp_path, monkeypatch):
+    df = spark.createDataFrame([(2**62 + 1, "ab cd " * 900), (5, ""), (6, None), (None, "one two")], "doc_id long, text string")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    stored = []
+    keep = prefix_counts.written
+    monkeypatch.setattr(prefix_counts, "written", lambda d, name: stored.append(keep(d, name)) or stored[-1])
+    got = {r["doc_id"]: r for r in prefix_counts.op10_prefix_token_counts(spark, str(tmp_path)).collect()}
+    tables = {r["doc_id"]: prefix_counts.prefix_counts(zlib.decompress(bytes(r["changes"]))) for r in stored[0].collect()}
+    assert set(got) == set(tables) == {2**62 + 1, 5, 6, None}
+    for d, t in tables.items():
+        assert (got[d]["n_tokens"], got[d]["fits"]) == (t[-1], prefix_counts.longest_prefix(t, prefix_counts.LIMIT))
+        assert got[d]["over_limit"] == (t[-1] > prefix_counts.LIMIT)
+    # the tables alone are read, not the sums next to them
+    fake = stored[0].limit(1).selectExpr("doc_id", "n_bytes", "-1L n_tokens", "-1L fits", "changes")
+    assert prefix_counts.read_tables(fake).first()["n_tokens"] >= 0
