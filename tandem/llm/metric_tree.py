@@ -37,9 +37,9 @@ from tandem.llm.int_vectors import MOST, extent, matrix, quantised
 
 K = 5
 EVERY = 50
-PAGE = 64
+PAGE = 256
 FANOUT = 16
-PIVOTS = 32
+PIVOTS = 16
 SHARD_ROWS = 8192
 QUERY_BLOCK = 2048
 SLACK = 1e-6
@@ -128,28 +128,35 @@ class Tree:
             allowed, page, own = heapq.heappop(heap)
             if bar is not None and -allowed < bar:
                 break
-            at = np.arange(self.first[page], self.first[page] + self.size[page])
-            leaf = self.leaf[page]
+            leaf, at = self.leaf[page], slice(self.first[page], self.first[page] + self.size[page])
             apart, radius = (self.apart[at], 0.0) if leaf else (self.above[at], self.radius[at])
             if bar is not None:
                 ok = most(np.abs(own - apart) - radius) >= bar
-                at, radius = at[ok], radius if leaf else radius[ok]
-            if not len(at):
-                continue
-            made += len(at)
+                left = np.count_nonzero(ok)
+                if not left:
+                    continue
+                if 2 * left < len(ok):  # picking rows out costs more than a product: only where most are ruled out
+                    at = at.start + np.flatnonzero(ok)
             if not leaf:
-                d = far(x[self.centre[at]] @ q)
-                can = most(d - radius)
-                for p, c, own in zip(at.tolist(), can.tolist(), d.tolist(), strict=True):
+                s = x[self.centre[at]] @ q
+                made += len(s)
+                d = far(s)
+                can = most(d - self.radius[at])
+                pages = range(at.start, at.stop) if isinstance(at, slice) else at.tolist()
+                for p, c, apart in zip(pages, can.tolist(), d.tolist(), strict=True):
                     if bar is None or c >= bar:
-                        heapq.heappush(heap, (-c, p, own))
+                        heapq.heappush(heap, (-c, p, apart))
                 continue
             s = x[at] @ q
+            made += len(s)
             if full:
-                ok = (s >= bar).astype(bool)
-                at, s = at[ok], s[ok]
-                if not len(at):
+                if s.max() < bar:
                     continue
+                ok = np.flatnonzero(s >= bar)
+                s = s[ok]
+                at = ok + at.start if isinstance(at, slice) else at[ok]
+            elif isinstance(at, slice):
+                at = np.arange(at.start, at.stop)
             best, score = np.concatenate([best, at]), np.concatenate([score, s])
             keep = np.lexsort((low[best], -score))[:k]
             best, score = best[keep], score[keep]
