@@ -19,7 +19,7 @@ Cases. Null vectors, vectors with null or non-finite components and rows without
 counts as padded with zeros, so a zero or empty one scores 0. Equal rows count once. Of different vectors under one id
 each is a candidate, and a query of its own; none is a candidate of a query with its id. Ties go to the smaller id. Fewer
 candidates than k give fewer rows. Where sums may pass 2^53 they are made with Python's integers; a score beyond a long
-is given as the nearest long.
+counts as the nearest long, and ties there.
 """
 
 from __future__ import annotations
@@ -121,7 +121,7 @@ class Tree:
         def far(s):
             return np.sqrt(np.maximum(base - 2 * np.asarray(s, np.float64), 0))
 
-        made, full = 1, False
+        made, full, exact = 1, False, x.dtype == object
         own = far(x[self.centre[0]] @ q)
         heap = [(-float(most(own - self.radius[0])), 0, float(own))]
         while heap:
@@ -149,7 +149,9 @@ class Tree:
                 continue
             s = x[at] @ q
             made += len(s)
-            if full:
+            if exact:
+                s = np.clip(s, -MOST, MOST)
+            if full and bar is not None:
                 if s.max() < bar:
                     continue
                 ok = np.flatnonzero(s >= bar)
@@ -162,6 +164,8 @@ class Tree:
             best, score = best[keep], score[keep]
             if len(best) == k:
                 full, bar = True, score[-1] if bar is None else max(bar, score[-1])
+                if bar <= -MOST:  # the least score there is: nothing is under it
+                    bar = None
         return best, score, made
 
 
@@ -276,6 +280,8 @@ class Index:
         """Answers of the (shard, query block) pairs that ``sent`` (qno, query_id, q, pivot, sub, bar) names."""
         dim, top, k, exact = self.dim, self.top, self.k, self.exact
         keys = ["pivot", "sub", "block"]
+        # a null among longs would reach pandas as doubles, which round: no bar travels as a number below all scores
+        sent = sent.withColumn("bar", F.coalesce("bar", F.lit(-MOST - 1)))
         sent = sent.withColumn("block", F.pmod(F.xxhash64("qno"), F.lit(blocks)).cast("int"))
         cells = sent.select("pivot", "sub", F.col("block").alias("block")).distinct()
         trees = self.trees.join(cells, ["pivot", "sub"])
@@ -289,19 +295,18 @@ class Index:
                 q = _numbers(matrix(pa.array(asked["q"], pa.list_(pa.int64())), dim), exact)
                 page, low = Tree.unpacked(row), ids[starts[:-1]]
                 for i, (qno, own, bar) in enumerate(zip(asked["qno"], asked["query_id"], asked["bar"], strict=True)):
-                    best, score, _ = page.search(x, low, q[i], top, k + 1, None if pd.isna(bar) else int(bar))
+                    best, score, _ = page.search(x, low, q[i], top, k + 1, None if bar < -MOST else int(bar))
                     rows = sorted((-int(s), int(v)) for b, s in zip(best, score, strict=True)
                                   for v in ids[starts[b]:starts[b + 1]] if v != own)[:k]
                     # k answers or more elsewhere must reach the k-th here
-                    bar = -rows[-1][0] if len(rows) == k else None
+                    bar = -rows[-1][0] if len(rows) == k and rows[-1][0] < MOST else None
                     for s, v in rows or [(None, None)]:
                         out["qno"].append(int(qno))
                         out["query_id"].append(int(own))
                         out["vec_id"].append(v)
-                        out["score"].append(None if s is None else max(-MOST, min(MOST, -s)))
-                        out["bar"].append(None if bar is None else max(-MOST, min(MOST, bar)))
-            frame = pd.DataFrame(out)
-            return frame.astype({c: "Int64" for c in out})
+                        out["score"].append(None if s is None else -s)
+                        out["bar"].append(bar)
+            return pd.DataFrame({c: pd.array(v, "Int64") for c, v in out.items()})
 
         left = trees.repartition(*keys).groupBy(*keys)
         return left.cogroup(sent.groupBy(*keys)).applyInPandas(

@@ -4,7 +4,7 @@ A vector of whole numbers (floor(256 * component)) is cut into ``PARTS`` equal c
 has a codebook of ``ENTRIES`` entries. Parts and entries are padded with zeros to a power of two D and sent through an
 integer Walsh-Hadamard transform, which keeps distances up to the factor D. Its coefficients, fewest sign changes first
 (sequency order), hold most of the difference in front, so the sum of squared differences grows early: an entry is given
-up as soon as its sum passes the full distance of a first guess. All sums are whole numbers; the winner's sum divided by
+up as soon as its sum passes the full distance of the entry that leads so far. All sums are whole numbers; the winner's sum divided by
 D is its squared distance exactly, and ties go to the lower index.
 
 Fit: the books start as the parts of the smallest ids; each round is one pass over all vectors whose tasks return
@@ -76,6 +76,12 @@ def nearest(x: np.ndarray, book: np.ndarray) -> tuple[np.ndarray, np.ndarray, in
     for k in range(1, size):
         sums = sums + (x[row, k] - book[entry, k]) ** 2
         work += len(row)
+        if k & (k + 1) == 0 and k + 1 < size:  # after 2, 4, 8 ... coefficients the leader's full distance is a better bar
+            start = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
+            lead = np.minimum.reduceat(sums, start)[row] == sums
+            _, at = np.unique(row[lead.astype(bool)], return_index=True)
+            bar = np.minimum(bar, ((x - book[entry[lead.astype(bool)][at]]) ** 2).sum(axis=1))
+            work += n * size
         live = (sums <= bar[row]).astype(bool)
         row, entry, sums = row[live], entry[live], sums[live]
     # what is left are full sums: the least of each row, then the lowest entry
