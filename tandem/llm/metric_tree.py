@@ -194,7 +194,7 @@ class Index:
         norm = F.aggregate("q", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
         self.top = float(found.agg(F.max(norm)).first()[0] or 0)
         picked = found.orderBy(F.xxhash64("q"), "q").limit(pivots).select("q").collect()
-        self.pivots = np.array([[*r["q"], *[0] * (self.dim - len(r["q"]))] for r in picked], np.int64).reshape(-1, self.dim)
+        self.pivots = np.array([[*r["q"], *[0] * (self.dim - len(r["q"]))] for r in picked], np.int64).reshape(len(picked), self.dim)
         dim, top, points = self.dim, self.top, lifted(self.pivots, self.top)
 
         def deal(batches):
