@@ -14,18 +14,17 @@ from pyspark.sql import functions as F
 
 from tandem.operators import ease as ease_ops
 from tandem.operators.interactions import item_counts
-from tandem.functions.expressions import hash_key
-from tandem.operators.sampling import (cap_history, downsample_negatives, hex_threshold, positional_split,
-                                       sample_users_to_rows, temporal_split)
+from tandem.operators.sampling import (cap_history, downsample_negatives, positional_split, sample_users_to_rows,
+                                       temporal_split)
 from tandem.operators.similarity import cooccurrence, sparsify
 from tandem.operators.topk import global_top_n, latest_events
 from tandem.operators.vectors import pair_dot, topk_inner_product
 from tandem.plans import checks
+from tandem.plans.chain import Chain, full_pipeline
 from tandem.plans.dataset import RecPipeline, attach_target
-from tandem.plans.evaluation import coverage_by_flags, coverage_by_generator, recall_at_k, target_counts
+from tandem.plans.evaluation import auc, coverage_by_flags, coverage_by_generator, recall_at_k, target_counts
 from tandem.plans.features import (ArtistStatic, CandidateSourceCount, FeatureManager, IALSDot, ItemStatic,
                                    ItemTrend, UserArtistAffinity, UserStatic)
-from tandem.plans.ranking import fit_ranker, prepare
 from tandem.plans.retrieval import (IALS, ArtistPopularity, CoVisitation, Ease, GlobalPopularity,
                                     IALSItemToItem, RetrievalStage)
 from tandem.plans.submission import format_top_k
@@ -314,35 +313,72 @@ def q_artist_pop_candidates_multi(spark, sf):
     return g.generate(td.target_users(spark, sf), likes, NUM_CANDIDATES)
 
 
-_RANKERS: dict = {}
+_CHAINS: dict = {}
 
 
-def _ranker_run(spark, sf):
-    """Train once per (session, data folder); the ranker queries share it.
-    The dataset is written once and split by user: fit on four fifths."""
+def _chain(spark, sf):
+    """All generators and sources, fitted and ranked once per (session, data folder); the queries below share it."""
     key = (spark.sparkContext.applicationId, sf)
-    if key not in _RANKERS:
-        ds = materialise(_dataset(spark, sf)[0].drop("artist_id"))
-        held = F.substring(hash_key(SEED, "uid"), 1, 8) < F.lit(hex_threshold(HELD_OUT))
-        train_df, feats = prepare(ds.where(~held), True, NEG_FRACTION, SEED)
-        _RANKERS.clear()
-        _RANKERS[key] = (fit_ranker(train_df, feats, iterations=RANKER_TREES), ds, ds.where(held))
-    return _RANKERS[key]
+    if key not in _CHAINS:
+        likes = materialise(_likes(spark, sf))
+        hist, train, val_hist, val = temporal_split(likes, 1)
+        run = Chain(full_pipeline(td.artist_mapping(spark, sf)), NUM_CANDIDATES, NEG_FRACTION, SEED, HELD_OUT, SUBMISSION_K,
+                    iterations=RANKER_TREES)
+        _CHAINS.clear()
+        _CHAINS[key] = (run.train(hist, train), hist, train, val_hist, val)
+    return _CHAINS[key]
+
+
+def q_full_dataset(spark, sf):
+    return _chain(spark, sf)[0].dataset
+
+
+def q_full_submission(spark, sf):
+    return _chain(spark, sf)[0].submission()
+
+
+def q_full_chain_check(spark, sf):
+    run, hist, train, _, _ = _chain(spark, sf)
+    return checks.chain(run, hist, train)
 
 
 def q_ranker_scores(spark, sf):
-    ranker, ds, _ = _ranker_run(spark, sf)
-    return ranker.predict(ds)
+    return _chain(spark, sf)[0].scores()
 
 
 def q_ranker_scores_check(spark, sf):
-    """Every candidate has one score, a probability."""
-    return q_ranker_scores(spark, sf).select("uid", "item_id", F.col("score").between(0.0, 1.0).alias("ok"))
+    """Every candidate of the three generators that SQL can express has one score, a probability."""
+    run = _chain(spark, sf)[0]
+    known = run.dataset.where("is_global_pop + is_artist_pop + is_covisitation > 0").select("uid", "item_id")
+    return known.join(run.scores(), ["uid", "item_id"]).select("uid", "item_id", F.col("score").between(0.0, 1.0).alias("ok"))
 
 
 def q_ranker_auc(spark, sf):
-    ranker, _, held = _ranker_run(spark, sf)
-    return spark.createDataFrame([(float(ranker.auc(held)),)], "auc double")
+    return _chain(spark, sf)[0].held_out_auc()
+
+
+def q_ranker_auc_check(spark, sf):
+    """The rank sum against Spark ML's exact curve."""
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+
+    rows = materialise(_chain(spark, sf)[0].held_out_scores().withColumn("target", F.col("target").cast("double")))
+    curve = BinaryClassificationEvaluator(labelCol="target", rawPredictionCol="score", metricName="areaUnderROC",
+                                          numBins=0).evaluate(rows)
+    return auc(rows).select((F.abs(F.col("auc") - F.lit(curve)) < 1e-9).alias("ok"))
+
+
+def q_ranker_validation(spark, sf):
+    """The ranker of the training window on the last window, everything else fitted anew."""
+    run, _, _, val_hist, val = _chain(spark, sf)
+    again = Chain(full_pipeline(td.artist_mapping(spark, sf)), NUM_CANDIDATES, k=RECALL_K)
+    again.ranker = run.ranker
+    return again.validation(val_hist, val)
+
+
+def q_auc_merge_scores(spark, sf):
+    """M15 over every merged candidate: the area under ROC of the merge score."""
+    cands, _, train, _ = _merged(spark, sf)
+    return auc(attach_target(cands.select("uid", "item_id", "score"), train))
 
 
 QUERIES = {
@@ -389,9 +425,15 @@ QUERIES = {
     "split_temporal_long": q_split_temporal_long,
     "artist_top_tracks_multi": q_artist_top_tracks_multi,
     "artist_pop_candidates_multi": q_artist_pop_candidates_multi,
+    "full_dataset": q_full_dataset,
+    "full_submission": q_full_submission,
+    "full_chain_check": q_full_chain_check,
     "ranker_scores": q_ranker_scores,
     "ranker_scores_check": q_ranker_scores_check,
     "ranker_auc": q_ranker_auc,
+    "ranker_auc_check": q_ranker_auc_check,
+    "ranker_validation": q_ranker_validation,
+    "auc_merge_scores": q_auc_merge_scores,
 }
 
 
@@ -640,4 +682,12 @@ _EVERY_USER = _with(BASE, body="SELECT DISTINCT l.uid, true AS ok FROM likes l J
 SQL |= {name: _EVERY_USER for name in ("ease_scores_check", "ials_topk_check", "ials_i2i_check")}
 SQL["ials_normal_equations"] = _with(BASE, body="SELECT DISTINCT uid, true AS ok FROM likes")
 SQL["feat_ials_dot_check"] = _with(BASE, SPLIT, body="SELECT uid, true AS ok FROM train_users")
+SQL["full_chain_check"] = _with(BASE, SPLIT, body="SELECT uid, true AS ok FROM train_users")
 SQL["ranker_scores_check"] = _with(*merged_ctes(), body="SELECT uid, item_id, true AS ok FROM cands")
+SQL["ranker_auc_check"] = "SELECT true AS ok"
+SQL["auc_merge_scores"] = _with(*merged_ctes(), """counts AS (
+  SELECT c.score AS s, count(t.uid) AS pos, count(*) - count(t.uid) AS neg
+  FROM cands c LEFT JOIN (SELECT DISTINCT uid, item_id FROM train) t ON c.uid = t.uid AND c.item_id = t.item_id GROUP BY c.score),
+below AS (
+  SELECT pos, neg, coalesce(sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b FROM counts)""",
+    body="SELECT CAST(sum(pos * (2 * b + neg)) AS DOUBLE) / (2.0 * CAST(sum(pos) * sum(neg) AS DOUBLE)) AS auc FROM below")

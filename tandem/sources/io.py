@@ -72,6 +72,12 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
+def delete_table(spark: SparkSession, path: str) -> None:
+    """Remove a table that this library wrote (any file system Spark knows)."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 class FittedStore:
     """Fitted tables addressed by ``(prefix, component, table)``."""
 
