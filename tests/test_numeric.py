@@ -252,3 +252,50 @@ def test_coverage_without_truth(spark):
     ds = spark.createDataFrame([(1, 2, 1.0, 0)], "uid long, item_id long, is_a double, target int")
     raw = spark.createDataFrame([], "uid long, item_id long")
     assert coverage_by_flags(ds, raw).first()["contribution_pct"] is None
+
+
+def test_vector_topk_skips_blocks_by_norm(spark):
+    """Norms fall off, so most blocks cannot reach a query's K-th score and are not asked for; the rows stay exact."""
+    from pyspark.sql import functions as F
+    from tandem.operators import vectors
+    rng = np.random.default_rng(8)
+    it = rng.normal(size=(2000, 8)) * (0.995 ** np.arange(2000))[:, None]
+    it[1500:1600] = it[3]        # equal norms share a class and are cut by hash
+    q = np.vstack([rng.normal(size=(60, 8)), np.zeros((1, 8))])
+    qdf = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(q)], "id long, features array<double>")
+    idf = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(it)], "id long, features array<double>")
+    S = np.zeros((61, 2000))
+    for j in range(8):
+        S += q[:, j:j + 1] * it[:, j]
+    got = {}
+    for r in topk_inner_product(qdf, idf, 5, item_block_rows=50, query_block_rows=16).collect():
+        got.setdefault(r.qid, []).append((-r.score, r.item_id))
+    for a in range(61):
+        assert [s for s, _ in sorted(got[a])] == pytest.approx(sorted(-S[a])[:5], abs=1e-9)
+        if a == 60:
+            assert [i for _, i in sorted(got[a])] == [0, 1, 2, 3, 4]
+    blocks = vectors.NormBlocks(idf, 40, 50)
+    n_blocks = sum(n for _, _, n in blocks.classes)
+    tops = [top for _, top, _ in blocks.classes]
+    assert tops == sorted(tops, reverse=True) and blocks.items.groupBy("_cls", "_sub").count().agg(F.max("count")).first()[0] < 150
+    bars = spark.createDataFrame([(a, float(np.sort(S[a])[-5])) for a in range(61)], "qid long, bar double")
+    asked = blocks.others(qdf.select(F.col("id").alias("qid"), vectors._norm("features").alias("_qnorm")).where("id < 60").join(bars, "qid"))
+    assert asked.count() < 0.5 * 60 * (n_blocks - 1)
+
+
+def test_ease_rounds_leave_no_tables_behind(spark, tmp_path):
+    """Whatever the number of rounds: items, Gram tiles, weights and the size note are what is left."""
+    import os
+    df, _ = _planted(spark, n_users=40, n_items=30)
+    model = ease.fit(df, top_k_items=100, l2_reg=2.0, tile=8, path=str(tmp_path / "m"), width=4)
+    assert sorted(os.listdir(tmp_path / "m")) == ["gram", "items", "meta", "weights"]
+    assert all(r.ok for r in ease.residual_check(model).collect())
+    again = ease.load(spark, model.path)
+    users = df.select("uid").distinct()
+    a, b = (sorted(tuple(r) for r in ease.score(m, df, users, 7, stripes=s).collect()) for m, s in ((model, 1), (again, 3)))
+    assert a == b and len(a) == 40 * 7
+
+
+def test_ease_column_width():
+    assert ease.column_width(2000, 2048) == 2048 and ease.column_width(60_000, 2048) == 1024
+    assert ease.column_width(10**7, 2048) == 64 and ease.column_width(10, 16) == 16
