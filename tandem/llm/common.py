@@ -42,6 +42,14 @@ def null_ids(df: DataFrame) -> DataFrame:
     return df.withColumn("doc_id", F.nullif(F.col("doc_id"), F.lit(NO_ID)))
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """``name``, with underscores added until no column has it (names differ by more than case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def with_texts(docs: DataFrame, change, drop: tuple = ()) -> DataFrame:
     """``docs`` with the texts that ``change(batch)`` gives, a list for each Arrow batch, and ``n_chars``, if there,
     to match wherever a text is another; all other columns pass as they are, those of ``drop`` go."""

@@ -151,9 +151,17 @@ class Graph:
 GRAPHS = "shard int, vecs binary, ids binary, starts binary, edges binary, entry int, n int, dim int"
 
 
-def _built(degree: int, beam: int, alpha: float, most: int):
+def padded(vectors, dim: int) -> np.ndarray:
+    """Rows of ``dim`` numbers; shorter vectors end in zeros."""
+    out = np.zeros((len(vectors), dim))
+    for row, v in zip(out, vectors, strict=True):
+        row[:len(v)] = v[:dim]
+    return out
+
+
+def _built(degree: int, beam: int, alpha: float, most: int, dim: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = np.array(pdf["v"].tolist(), np.float64)
+        x = padded(pdf["v"], dim)
         order = np.lexsort((pdf["vec_id"], *x.T))
         x, ids = x[order], pdf["vec_id"].to_numpy(np.int64)[order]
         head = np.concatenate([[True], (x[1:] != x[:-1]).any(axis=1)])
@@ -170,7 +178,8 @@ def _built(degree: int, beam: int, alpha: float, most: int):
 
 def build(vectors: DataFrame, k: int = K, degree: int = DEGREE, beam: int = BEAM, alpha: float = ALPHA,
           shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """One row a shard with its graph. ``vectors``: vec_id, v of one dimension, as ``usable`` gives them.
+    """One row a shard with its graph. ``vectors``: vec_id, v as ``usable`` gives them; a shorter
+    vector counts as padded with zeros to the longest.
 
     Of equal vectors only the ``k`` + 1 smallest ids are kept, before anything is shuffled by shard; shards are dealt
     by value, so all copies of a vector meet in one.
@@ -181,9 +190,10 @@ def build(vectors: DataFrame, k: int = K, degree: int = DEGREE, beam: int = BEAM
            .withColumn("rn", F.row_number().over(Window.partitionBy("v", "salt").orderBy("vec_id")))
            .where(F.col("rn") <= k + 1).drop("rn", "salt"))
     few = written(few, "ann-vectors", "snappy")
-    shards = max(1, -(-few.count() // shard_rows))
+    n, dim = few.agg(F.count("*"), F.max(F.size("v"))).first()
+    shards = max(1, -(-n // shard_rows))
     dealt = few.withColumn("shard", F.pmod(key, F.lit(shards)).cast("int"))
-    return written(dealt.groupBy("shard").applyInPandas(_built(degree, beam, alpha, k + 1), GRAPHS), "ann-graphs")
+    return written(dealt.groupBy("shard").applyInPandas(_built(degree, beam, alpha, k + 1, dim or 0), GRAPHS), "ann-graphs")
 
 
 def _answers(k: int, width: int):
@@ -202,7 +212,7 @@ def _answers(k: int, width: int):
         out = []
         for at in range(0, len(right), BATCH):
             part = right.iloc[at:at + BATCH]
-            q = np.array(part["v"].tolist(), np.float64)
+            q = padded(part["v"], r["dim"])
             found, _ = graph.beam(q, max(width, k + 1))
             for own, one, near in zip(part["vec_id"].to_numpy(), q, found, strict=True):
                 near = near[near >= 0]

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tandem.llm.common import documents, id_text, prepare, slices, with_texts
+from tandem.llm.common import documents, id_text, prepare, slices, unused, with_texts
 
 LENGTH = 50
 GRAM = 16
@@ -343,16 +343,17 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, buc
     """``docs`` with the texts that ``remove_repeats`` keeps, and ``n_chars``, if there, to match; other columns and
     rows without a ``doc_id`` or text stay as they are. What a cut leaves of a character of several bytes is dropped."""
     spans = _spans(_keyed(docs), length, gram, bucket_chars)
+    own_id, text_hash, found = (unused(c, docs.columns) for c in ("id_of", "text_hash", "spans_of"))
 
     def change(batch) -> list[str | None]:
-        columns = [batch.column(c).to_pylist() for c in ("text", "text_hash", "spans_of")]
+        columns = [batch.column(c).to_pylist() for c in ("text", text_hash, found)]
         return [t if s is None or t is None else
                 _split(t.encode("utf-8", "surrogatepass"), s, h)[1].decode("utf-8", "ignore")
                 for t, h, s in zip(*columns, strict=True)]
 
-    at = docs.withColumns({"id_of": F.col("doc_id").cast("long"), "text_hash": F.hash(F.coalesce("text", F.lit("")))})
-    joined = at.join(spans.select(F.col("doc_id").alias("id_of"), F.col("spans").alias("spans_of")), "id_of", "left")
-    return with_texts(joined.select(*docs.columns, "text_hash", "spans_of"), change, ("text_hash", "spans_of"))
+    at = docs.withColumns({own_id: F.col("doc_id").cast("long"), text_hash: F.hash(F.coalesce("text", F.lit("")))})
+    joined = at.join(spans.select(F.col("doc_id").alias(own_id), F.col("spans").alias(found)), own_id, "left")
+    return with_texts(joined.select(*docs.columns, text_hash, found), change, (text_hash, found))
 
 
 def op2_run_length_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -64,3 +64,16 @@ def test_pruning_keeps_diverse_edges():
     g = gs.Graph(x, degree=3)
     kept = g._prune(np.array([0]), np.array([[1, 2, 3]], np.int32))[0]
     assert kept[0] == 1 and 3 in kept and 2 not in kept
+
+
+def test_vectors_of_unequal_length(spark):
+    x = clustered(300, 8, 9)
+    x[::7, 5:] = 0.0
+    rows = [(i, v[:5].tolist() if i % 7 == 0 else v.tolist()) for i, v in enumerate(x)]
+    vectors = gs.usable(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    got = {}
+    for r in gs.search(gs.build(vectors, shard_rows=100), vectors.where("vec_id % 20 = 0")).collect():
+        got.setdefault(r["query_id"], set()).add((r["vec_id"], round(r["score"], 9)))
+    want = exact(list(range(300)), x, range(0, 300, 20), 20)
+    hits = sum(len(got[q] & {(i, round(s, 9)) for i, s in near}) for q, near in want.items())
+    assert set(got) == set(want) and hits >= 0.95 * 20 * len(want)

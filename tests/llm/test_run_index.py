@@ -83,3 +83,14 @@ def test_run_index_is_the_transform():
         while a[0][n] == b[0][n] and a[0][n]:
             n += 1
         assert stats[b[2]] == n
+
+
+def test_columns_named_like_the_stage_s_own(spark):
+    shared = "this passage of well over fifty bytes stands in two documents, word for word. "
+    docs = spark.createDataFrame([(1, "a " + shared, "m", 7, "p", 1.5), (2, "b " + shared, "n", 8, "q", 2.5), (None, shared, "o", 9, "r", None)],
+                                 "doc_id long, text string, id_of string, text_hash long, Spans_Of string, th double")
+    out = ri.without_repeats(docs)
+    assert out.columns == docs.columns
+    rows = sorted((tuple(r) for r in out.collect()), key=lambda r: (r[0] is None, r[0]))
+    assert [r[2:] for r in rows] == [("m", 7, "p", 1.5), ("n", 8, "q", 2.5), ("o", 9, "r", None)]
+    assert rows[0][1] == "a " + shared and len(rows[1][1]) < 5 and rows[2][1] == shared
