@@ -21,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain, repeat
@@ -36,6 +37,7 @@ SPACE = "▁"
 RATE = 0.1
 SEED = 29
 MEMO = 250_000  # tree nodes kept by one worker
+ONCE = 500_000  # units of one occurrence so far that it remembers
 LONGEST = 24  # characters of a unit that has a tree; each occurrence of a longer one is merged by itself
 BLOCK = 1 << 17  # units that draw together
 _UNIT = re.compile(" *[^ ]+| +")
@@ -105,6 +107,7 @@ class Pieces:
             self.of_char[ord(c)] = s
         self.of_char[ord(" ")], self.of_char[ord(SPACE)] = self.symbol.get(SPACE, self.other), self.other
         self.memo: dict[str, int] = {}  # the root of a unit
+        self.once: set[str] = set()  # units that occurred once: a tree is made for the second occurrence
         self._forget()
 
     def _forget(self) -> None:
@@ -192,7 +195,12 @@ class Pieces:
         """Ids of units one after another, and how many each has."""
         if len(self.unit) > MEMO or self.flow.n > 16 * MEMO:
             self._forget()
-        new = [u for u in set(units).difference(self.memo) if len(u) <= LONGEST]
+        fresh = {u: c for u, c in Counter(units).items() if u not in self.memo and len(u) <= LONGEST}
+        new = [u for u, c in fresh.items() if c > 1 or u in self.once]
+        if len(self.once) > ONCE:
+            self.once.clear()
+        self.once.difference_update(new)
+        self.once.update(fresh.keys() - set(new))
         roots = self._add(new, before=np.zeros(len(new), np.int64))
         self.memo.update(zip(new, roots.tolist(), strict=True))
         node = np.fromiter(map(self.memo.get, units, repeat(-1)), np.int64, len(units))
