@@ -37,12 +37,12 @@ class CandidateGenerator(ABC):
     def __init__(self, store: FittedStore | None = None):
         self.store = store
 
-    def _fitted(self, table: str, build, force: bool = False) -> DataFrame:
+    def _fitted(self, table: str, build, force: bool, history: DataFrame) -> DataFrame:
         if self.store is None:
             # fitted tables are reused by every user: materialise them once in
             # the shared checkpoint folder (lineage cut, cheap size probes)
             return materialise(build())
-        return self.store.fit_or_load(self.name, table, build, force)
+        return self.store.fit_or_load(self.name, table, build, force, self.store.describe(self, history))
 
     @abstractmethod
     def fit(self, history: DataFrame, force: bool = False) -> "CandidateGenerator": ...
@@ -64,7 +64,7 @@ class GlobalPopularity(CandidateGenerator):
     def fit(self, history, force=False):
         self.top_items = self._fitted("top_items", lambda: (
             global_top_n(item_counts(history), [F.desc("n"), F.asc("item_id")], self.top_n)
-            .select("item_id", F.col("n").cast("double").alias("score"))), force)
+            .select("item_id", F.col("n").cast("double").alias("score"))), force, history)
         return self
 
     def generate(self, users, history, num_candidates):
@@ -90,7 +90,7 @@ class ArtistPopularity(CandidateGenerator):
         self.top_tracks = self._fitted("artist_top_tracks", lambda: (
             average_rank_filter(artist_item_counts(history, self.mapping), "artist_id", "n",
                                 self.tracks_per_artist)
-            .select("artist_id", "item_id", F.col("n").cast("double").alias("artist_score"))), force)
+            .select("artist_id", "item_id", F.col("n").cast("double").alias("artist_score"))), force, history)
         return self
 
     def favourite_artists(self, users, history):
@@ -119,7 +119,7 @@ class CoVisitation(CandidateGenerator):
         self.similarity = None
 
     def fit(self, history, force=False):
-        self.similarity = self._fitted("similarity", lambda: sparsify(cooccurrence(history), self.top_k), force)
+        self.similarity = self._fitted("similarity", lambda: sparsify(cooccurrence(history), self.top_k), force, history)
         return self
 
     def generate(self, users, history, num_candidates):
@@ -140,11 +140,15 @@ class Ease(CandidateGenerator):
         self.model: ease_ops.EaseModel | None = None
 
     def fit(self, history, force=False):
-        path = self.store.path(self.name, "model") if self.store is not None else None
-        if path and not force and self.store.exists(self.name, "model/weights"):
+        if self.store is None:
+            self.model = ease_ops.fit(history, self.top_k_items, self.l2_reg, self.tile)
+            return self
+        path, fitted_with = self.store.path(self.name, "model"), self.store.describe(self, history)
+        if not force and self.store.usable(self.name, "model", "weights", fitted_with):
             self.model = ease_ops.load(history.sparkSession, path)
         else:
             self.model = ease_ops.fit(history, self.top_k_items, self.l2_reg, self.tile, path)
+            self.store.record(self.name, "model", fitted_with)
         return self
 
     def generate(self, users, history, num_candidates):
@@ -192,9 +196,9 @@ class IALS(CandidateGenerator):
                                                     lo <= b["i0"] and b["i1"] <= hi)
         if self.encoded:
             self.user_codes = self._fitted("user_codes", lambda: global_index(
-                history.select("uid").distinct(), ["uid"], "code"), force)
+                history.select("uid").distinct(), ["uid"], "code"), force, history)
             self.item_codes = self._fitted("item_codes", lambda: global_index(
-                history.select("item_id").distinct(), ["item_id"], "code"), force)
+                history.select("item_id").distinct(), ["item_id"], "code"), force, history)
             coded = (counts.join(self.user_codes.withColumnRenamed("code", "user"), "uid")
                      .join(self.item_codes.withColumnRenamed("code", "item"), "item_id"))
         else:
@@ -204,12 +208,14 @@ class IALS(CandidateGenerator):
         als = ALS(rank=self.factors, maxIter=self.iterations, regParam=self.regularization, alpha=1.0,
                   implicitPrefs=True, seed=self.seed, userCol="user", itemCol="item", ratingCol="rating",
                   coldStartStrategy="drop", checkpointInterval=self.checkpoint_interval)
-        if self.store is not None and not force and self.store.exists(self.name, "model/metadata"):
+        fitted_with = self.store.describe(self, history) if self.store is not None else None
+        if self.store is not None and not force and self.store.usable(self.name, "model", "metadata", fitted_with):
             self.model = ALSModel.load(self.store.path(self.name, "model"))
         else:
             self.model = als.fit(ratings)
             if self.store is not None:
                 self.model.write().overwrite().save(self.store.path(self.name, "model"))
+                self.store.record(self.name, "model", fitted_with)
         self.user_factors = self._decode(self.model.userFactors, "uid")
         self.item_factors = self._decode(self.model.itemFactors, "item_id")
         return self

@@ -9,6 +9,7 @@ plain distributed parquet/CSV write. ``FittedStore`` gives the
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable
 
@@ -78,13 +79,26 @@ def delete_table(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def fingerprint(df: DataFrame) -> str:
+    """Column names, row count and an order-free sum of row hashes: one aggregation over the table."""
+    total = F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)"))
+    n, h = df.agg(F.count(F.lit(1)), total).first()
+    return f"{','.join(df.columns)}:{n}:{h}"
+
+
 class FittedStore:
-    """Fitted tables addressed by ``(prefix, component, table)``."""
+    """Fitted tables addressed by ``(prefix, component, table)``.
 
-    def __init__(self, spark: SparkSession, root: str, prefix: str | None = None):
+    By default a name decides alone: what is there is reused. With ``check`` a manifest beside each table keeps what it
+    was fitted with (parameters and the input's fingerprint), and other parameters or other data fit it anew.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, prefix: str | None = None, check: bool = False):
         self.spark = spark
         self.root = root.rstrip("/")
         self.prefix = prefix or ""
+        self.check = check
+        self._seen: list = []  # fingerprints of this session's tables: components share one history
 
     def path(self, component: str, table: str) -> str:
         folder = f"{self.prefix}_{component}" if self.prefix else component
@@ -93,10 +107,48 @@ class FittedStore:
     def exists(self, component: str, table: str) -> bool:
         return table_exists(self.spark, self.path(component, table))
 
+    def describe(self, component, history: DataFrame) -> str | None:
+        """What a component (generator or source) would be fitted with; null without ``check``."""
+        if not self.check:
+            return None
+        parts = {}
+        for name, value in sorted(vars(component).items()):
+            if isinstance(value, (bool, int, float, str)):
+                parts[name] = value
+            elif name == "mapping" and value is not None:
+                parts[name] = self._fingerprint(value)
+        return json.dumps([component.name, parts, self._fingerprint(history)])
+
+    def _fingerprint(self, df: DataFrame) -> str:
+        for known, found in self._seen:
+            if known.sameSemantics(df):
+                return found
+        self._seen.append((df, fingerprint(df)))
+        return self._seen[-1][1]
+
+    def usable(self, component: str, table: str, marker: str = "", fitted_with: str | None = None) -> bool:
+        """Whether ``table`` is there, complete (``marker`` names the folder that is written last) and, with ``check``,
+        fitted with the same."""
+        if not self.exists(component, f"{table}/{marker}" if marker else table):
+            return False
+        if fitted_with is None:
+            return True
+        return (self.exists(component, f"{table}-manifest")
+                and self.spark.read.parquet(self.path(component, f"{table}-manifest")).first()[0] == fitted_with)
+
+    def record(self, component: str, table: str, fitted_with: str | None) -> None:
+        """Keep what ``table`` was fitted with; written after the table, so a broken fit leaves no manifest of its own."""
+        if fitted_with is not None:
+            write_table(self.spark.createDataFrame([(fitted_with,)], "fitted_with string").coalesce(1),
+                        self.path(component, f"{table}-manifest"))
+
     def fit_or_load(self, component: str, table: str, build: Callable[[], DataFrame],
-                    force: bool = False) -> DataFrame:
+                    force: bool = False, fitted_with: str | None = None) -> DataFrame:
         """Write ``build()`` unless it is already there; return the stored table."""
         p = self.path(component, table)
-        if force or not table_exists(self.spark, p):
+        if force or not self.usable(component, table, fitted_with=fitted_with):
+            if fitted_with is not None:
+                delete_table(self.spark, self.path(component, f"{table}-manifest"))
             write_table(build(), p)
+            self.record(component, table, fitted_with)
         return read_table(self.spark, p)
