@@ -297,5 +297,5 @@ def test_ease_rounds_leave_no_tables_behind(spark, tmp_path):
 
 
 def test_ease_column_width():
-    assert ease.column_width(2000, 2048) == 2048 and ease.column_width(60_000, 2048) == 1024
+    assert ease.column_width(2000, 2048) == 2048 and ease.column_width(60_000, 2048) == 512
     assert ease.column_width(10**7, 2048) == 64 and ease.column_width(10, 16) == 16
