@@ -66,3 +66,46 @@ def test_scores_are_added_up_from_lists(spark):
     scored = covisitation_scores(likes, s, users, 3, 3)
     assert sorted(map(tuple, scored.collect())) == [(1, 1, 14.0), (1, 2, 100_002.0), (1, 4, 14.0)]
     assert not re.search(r"hashpartitioning\(uid#\d+L, item", _plan(scored))  # dealt by user alone
+
+
+def test_sampled_users_are_read_from_files(spark, tmp_path):
+    """The capped likes are computed once, not for each count and join."""
+    from tandem.plans import catalog
+    from tandem.sources import testdata as td
+
+    n = 300
+    spark.range(n).select(F.col("id").alias("l_orderkey"), (F.col("id") % 20).alias("l_partkey"),
+                          F.lit("2024-01-01").cast("date").alias("l_shipdate"), F.lit("N").alias("l_returnflag")
+                          ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(n).select(F.col("id").alias("o_orderkey"), (F.col("id") % 40).alias("o_custkey")).write.parquet(
+        f"{tmp_path}/orders.parquet")
+    got = catalog.QUERIES["user_sample_to_target"](spark, str(tmp_path))
+    assert "lineitem" not in _plan(got) and "o_custkey" not in _plan(got)
+    held = got.groupBy("uid").count().collect()
+    assert len(held) == 20 and {r["count"] for r in held} == {5}
+    assert got.join(td.likes(spark, str(tmp_path)), ["uid", "item_id", "timestamp", "is_organic"], "left_anti").count() == 0
+
+
+def test_ranked_pairs_are_dealt_by_user_once(spark, tmp_path):
+    """Vectors and likes of the top items are sent to the pairs; the rank needs no exchange of them."""
+    from tandem.plans import catalog
+
+    spark.range(400).select(F.col("id").alias("l_orderkey"), (F.col("id") % 30).alias("l_partkey"),
+                            F.lit("2024-01-01").cast("date").alias("l_shipdate"), F.lit("N").alias("l_returnflag")
+                            ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(400).select(F.col("id").alias("o_orderkey"), (F.col("id") % 50).alias("o_custkey")).write.parquet(
+        f"{tmp_path}/orders.parquet")
+    spark.range(60).select(F.when(F.col("id") < 59, F.col("id")).alias("c_custkey")).write.parquet(f"{tmp_path}/customer.parquet")
+    spark.range(40).select(F.col("id").alias("vec_id"), F.array(F.col("id").cast("float"), F.lit(1.0).cast("float")).alias("embedding")
+                           ).write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = catalog.QUERIES["pair_dot_rank"](spark, str(tmp_path))
+    assert "hashpartitioning(uid#" in _plan(got) and _plan(got).count("hashpartitioning") == 1
+    seen = {(k % 50, k % 30) for k in range(400)}
+    want = {}
+    for u in [*range(59), None]:
+        for i in range(30):
+            if (u, i) not in seen:
+                want[u, i] = round(float(u * i + 1), 4) if u is not None and u < 40 else 0.0
+    assert {(r.uid, r.item_id): r.als_dot for r in got.collect()} == want
+    ranks = {(r.uid, r.item_id): r.als_rank for r in got.collect()}
+    assert all(ranks[u, i] == 1 + sum(v > d for (a, _), v in want.items() if a == u) for (u, i), d in want.items())
