@@ -2,16 +2,19 @@
 
 1. A document's set is its distinct word shingles as 64-bit hashes. Documents with equal sets form a class (a second
    64-bit hash keeps unequal sets apart); only one of each, the smallest id, is joined.
-2. Two sets that link differ in at most H elements, H following from the size. Elements are dealt to H + 1 parts by
-   hash, so linked sets have one part in common: part hashes are grouped, and sets that share one belong to the same
-   family (connected components of sets and part hashes). Everything that can link lies in one family.
-3. Within a family a T-occurrence search finds the partners of each set: inverted lists of its elements, the long ones
+2. Two sets that link differ in at most H elements, H following from the size. Elements are dealt to more than H + 1 parts
+   by hash, and the hashes of the H + 1 fullest are a set's keys: linked sets have one of them in common.
+3. Sets under one key are held against each other by sketches (the parity of the elements in each of about n cells): two
+   sets differ in at least as many elements as their sketches do in cells, so pairs beyond H are ruled out for certain.
+   What the others connect is a family; everything that can link lies in one.
+4. Within a family a T-occurrence search finds the partners of each set: inverted lists of its elements, the long ones
    set aside, the short ones merged, and candidates with enough occurrences probed in the long ones by binary search
    (DivideSkip). Families beyond ``BLOCK`` elements are cut into blocks, and each pair of blocks is one task's work.
    Candidates already connected to the query are skipped, so a task reports a spanning forest, not all pairs.
-4. Links make components; classes carry them to their documents.
+5. Links make components; classes carry them to their documents.
 
-Texts are only read; shuffled are part hashes (about a fifth of the elements), and whole sets of family members.
+Texts are only read; shuffled are part hashes (about two fifths of the elements), sketches (a bit an element) of sets that
+share one, and whole sets of family members.
 """
 
 from __future__ import annotations
@@ -30,8 +33,8 @@ from tandem.llm.components import components
 
 BLOCK = 1 << 18  # elements of a block of a family
 MEMO = 500_000
-FEW = 64  # sizes up to which the least elements are the keys
-LOAD = 8  # elements a part
+SPARE = 0.3  # parts beyond H + 1, as a share of them: the emptiest are no keys
+HELD = 4096  # sets under one key up to which sketches are held against each other; beyond, all are one family
 PROBES = 64  # long lists probed at a time
 MERGE = 12  # entries merged in the time of one binary probe
 
@@ -69,14 +72,18 @@ def _levels(most: int, num: int, den: int) -> np.ndarray:
     return np.array(out)
 
 
+def _mixed(s: np.ndarray) -> np.ndarray:
+    mixed = (s ^ (s >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
+    return mixed ^ (mixed >> np.uint64(29))
+
+
 def part_hashes(s: np.ndarray, num: int, den: int) -> np.ndarray:
     """Keys of a set such that sets with Jaccard >= num / den share one.
 
     For its own level and the next: |a ^ b| <= (1 - j) / (1 + j) * (|a| + |b|) =: H, and neither is larger than the
-    level's upper size, so one of H + 1 parts is equal in both. Small sets (levels up to ``FEW``) use their least
-    elements instead: linked sets of size n share one of the n - ceil(j n) + 1 least. An empty part is a key too,
-    unless parts hold under ``LOAD`` elements on average, where empty parts are common and say nothing: there a pair
-    is lost if all its equal parts are empty, with a probability under 1e-5 for pairs at the very threshold.
+    level's upper size, so of H + 1 + r parts at least r + 1 are equal in both (empty ones count). Of two sets with r + 1
+    of their parts in common, one is among the H + 1 first of both in any order that depends on the part alone; here the
+    fullest come first, because parts of one or two elements are shared by many sets that do not link.
     """
     n = len(s)
     if not n:
@@ -84,25 +91,68 @@ def part_hashes(s: np.ndarray, num: int, den: int) -> np.ndarray:
     sizes = _levels(n, num, den)
     level = int(np.searchsorted(sizes, n))
     above = max(int(sizes[level]) + 1, int(sizes[level]) * den // num)
-    mixed = (s ^ (s >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
-    mixed ^= mixed >> np.uint64(29)
-    out = []
-    if sizes[level] <= FEW:
-        out.append(np.sort(mixed)[:n + num * n // -den + 1] * np.uint64(0x9E3779B97F4A7C15))
+    mixed = _mixed(s)
+    own, out = mixed * (mixed | np.uint64(1)), []
     for k, upper in ((level, int(sizes[level])), (level + 1, above)):
-        if upper <= FEW:
-            continue
-        parts = (den - num) * 2 * upper // (den + num) + 1
+        keep = (den - num) * 2 * upper // (den + num) + 1
+        parts = keep + int(SPARE * keep)
         part = ((mixed >> np.uint64(11)) % np.uint64(parts)).astype(np.int64)
         total = np.zeros(parts, np.uint64)
-        np.add.at(total, part, mixed * (mixed | np.uint64(1)))
+        np.add.at(total, part, own)
         key = total + (np.arange(parts).astype(np.uint64) * np.uint64(1_000_003) + np.uint64(k)) * np.uint64(0x9E3779B97F4A7C15)
         key = (key ^ (key >> np.uint64(30))) * np.uint64(0x94D049BB133111EB)
         key ^= key >> np.uint64(31)
-        out.append(key[np.bincount(part, minlength=parts) > 0] if upper < LOAD * parts else key)
+        if parts > keep:
+            key = key[np.lexsort((key, -np.bincount(part, minlength=parts)))[:keep]]
+        out.append(key)
     return np.concatenate(out)
 
 
+def sketch(s: np.ndarray) -> bytes:
+    """The parity of a set's elements in each of its cells: the power of two from its size on, 64 at least."""
+    cells = max(64, 1 << max(len(s) - 1, 0).bit_length())
+    at = ((_mixed(s) >> np.uint64(17)) & np.uint64(cells - 1)).astype(np.int64)
+    return np.packbits(np.bincount(at, minlength=cells).astype(np.uint8) & 1).tobytes()
+
+
+def may_link(sizes: np.ndarray, sketches: list[bytes], num: int, den: int) -> list[tuple[int, int]]:
+    """Pairs that connect all sets that pairs not ruled out by sizes and sketches connect."""
+    length = np.array([len(x) for x in sketches])
+    # sketches of linked sets are equally long or the longer twice as long, and folding it gives that of the shorter
+    own = {b: np.frombuffer(b"".join(x for x in sketches if len(x) == b), np.uint64).reshape(-1, b // 8)
+           for b in np.unique(length).tolist()}
+    place = {b: np.flatnonzero(length == b) for b in own}
+    left, out = np.ones(len(sizes), bool), []
+    where = np.empty(len(sizes), np.int64)
+    for b in own:
+        where[place[b]] = np.arange(len(place[b]))
+    for first in range(len(sizes)):
+        if not left[first]:
+            continue
+        left[first], todo = False, [first]
+        while todo:
+            q = todo.pop()
+            b = int(length[q])
+            x, n = own[b][where[q]], int(sizes[q])
+            for other, fold in ((b, 1), (b * 2, 2), (b // 2, 2)):
+                if other not in own:
+                    continue
+                some = place[other][left[place[other]]]
+                some = some[(sizes[some] * den >= num * n) & (sizes[some] * num <= den * n)]
+                if not len(some):
+                    continue
+                y = own[other][where[some]]
+                if other > b:
+                    y = np.bitwise_xor(y[:, :b // 8], y[:, b // 8:])
+                z = x if other >= b else x[:other // 8] ^ x[other // 8:]
+                apart = np.bitwise_count(y ^ z).sum(axis=1, dtype=np.int64)
+                found = some[apart * (num + den) <= (den - num) * (sizes[some] + n)].tolist()
+                left[found] = False
+                todo += found
+                out += [(q, f) for f in found]
+    return out
+
+
 def _sets(width: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         of = Shingles(width)
@@ -111,8 +161,8 @@ def _sets(width: int):
             for doc, text in zip(pdf["doc_id"], pdf["text"], strict=True):
                 s = of(text)
                 d = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
-                rows.append((doc, len(s), *np.frombuffer(d, np.int64).tolist()))
-            yield pd.DataFrame(rows, columns=["doc_id", "n", "h1", "h2"])
+                rows.append((doc, len(s), *np.frombuffer(d, np.int64).tolist(), sketch(s)))
+            yield pd.DataFrame(rows, columns=["doc_id", "n", "h1", "h2", "sketch"])
     return run
 
 
@@ -137,6 +187,44 @@ def _parts(width: int, num: int, den: int):
     return run
 
 
+def _held(num: int, den: int):
+    def pairs(pdf: pd.DataFrame) -> pd.DataFrame:
+        ends = np.append(np.flatnonzero(np.diff(pdf["held"].to_numpy())) + 1, len(pdf))
+        node, n, own, out, lo = pdf["node"].to_numpy(), pdf["n"].to_numpy(), pdf["sketch"].tolist(), [], 0
+        for hi in ends.tolist():
+            out += [(lo + a, lo + b) for a, b in may_link(n[lo:hi], own[lo:hi], num, den)]
+            lo = hi
+        at = np.array(out, np.int64).reshape(-1, 2)
+        return pd.DataFrame({"a": node[at].min(axis=1), "b": node[at].max(axis=1)})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest = None  # rows come in order of ``held``; one's rows may lie in several batches
+        for pdf in batches:
+            pdf = pdf if rest is None else pd.concat([rest, pdf], ignore_index=True)
+            if len(pdf):
+                last = (pdf["held"] == pdf["held"].iloc[-1]).to_numpy()
+                rest = pdf[last]
+                if not last.all():
+                    yield pairs(pdf[~last])
+        if rest is not None and len(rest):
+            yield pairs(rest)
+    return run
+
+
+def _families(shared: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """node, component: sets (as ``h1``) that share a key and that sizes and sketches do not rule out are connected."""
+    by_key = shared.withColumn("among", F.count("*").over(Window.partitionBy("key")))
+    # many keys have the same sets: those are held against each other once
+    held = (by_key.where(F.col("among") <= HELD).groupBy("key").agg(F.sort_array(F.collect_list("node")).alias("nodes"))
+            .select("nodes").distinct().select(F.xxhash64("nodes").alias("held"), F.explode("nodes").alias("node")))
+    own = sets.where("n > 0").groupBy(F.col("h1").alias("node")).agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    close = (held.join(own, "node").repartition("held").sortWithinPartitions("held")
+             .mapInPandas(_held(num, den), "a long, b long").distinct())
+    crowd = (by_key.where(F.col("among") > HELD).withColumn("least", F.min("node").over(Window.partitionBy("key")))
+             .select(F.col("least").alias("a"), F.col("node").alias("b")).distinct())
+    return components(written(close.unionByName(crowd), "close"))
+
+
 class Links:
     """Union-find over a task's rows with flat labels."""
 
@@ -225,14 +313,14 @@ def near_duplicates(docs: DataFrame, width: int, num: int, den: int, block: int
     """
     prepare(docs.sparkSession)
     rows = id_text(docs).where("doc_id is not null")
-    sets = written(rows.mapInPandas(_sets(width), "doc_id long, n long, h1 long, h2 long"), "sets")
+    sets = written(rows.mapInPandas(_sets(width), "doc_id long, n long, h1 long, h2 long, sketch binary"), "sets")
     classes = sets.where("n > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"))
 
     parts = rows.mapInPandas(_parts(width, num, den), "key long, node long")
     by_key = Window.partitionBy("key")
     shared = written(parts.withColumn("least", F.min("node").over(by_key)).withColumn("most", F.max("node").over(by_key))
-                     .where("least < most").select("node", "least").distinct(), "shared-parts")
-    family = components(shared, "node", "least").select(F.col("node").alias("h1"), F.col("component").alias("family"))
+                     .where("least < most").select("key", "node").distinct(), "shared-parts")
+    family = _families(shared, sets, num, den).select(F.col("node").alias("h1"), F.col("component").alias("family"))
 
     # the sets of families, one document a class, with their blocks
     members = written(classes.join(family, "h1").select(F.col("rep").alias("doc_id"), "n", "family"), "family-members")
@@ -248,7 +336,7 @@ def near_duplicates(docs: DataFrame, width: int, num: int, den: int, block: int
 
     labelled = classes.select("h1", "h2", "rep").join(of_rep, "rep", "left").select(
         "h1", "h2", F.coalesce("component", "rep").alias("component_id"))
-    return (sets.join(written(labelled, "classes"), ["h1", "h2"], "left")
+    return (sets.drop("sketch").join(written(labelled, "classes"), ["h1", "h2"], "left")
             .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")))
 
 

@@ -94,6 +94,57 @@ def test_linked_sets_share_a_key():
                     assert np.isin(oj.part_hashes(a, num, den), oj.part_hashes(b, num, den)).any()
 
 
+def test_texts_that_share_a_passage_are_no_family(spark, monkeypatch):
+    r = random.Random(11)
+    passage = [f"w{r.randrange(400)}" for _ in range(60)]
+    rows = [(k, " ".join(passage[:r.choice([20, 60])] + [f"w{r.randrange(400)}" for _ in range(r.choice([30, 90, 300]))]))
+            for k in range(80)]
+    rows.append((80, rows[0][1] + " more"))  # links with the first
+    kept, written = {}, oj.written
+    monkeypatch.setattr(oj, "written", lambda df, name, *more: kept.setdefault(name, written(df, name, *more)))
+    got = oj.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 5, 8, 10).collect()
+    assert sorted(tuple(x) for x in got) == brute(rows, 5, 8, 10)
+    assert kept["family-members"].count() <= 10
+
+
+def test_sketches_rule_out_no_link_and_most_other_pairs():
+    r = np.random.default_rng(9)
+    for num, den in ((9, 10), (8, 10)):
+        sets = []
+        for n in (1, 2, 3, 7, 20, 60, 64, 66, 126, 130, 300, 1000):
+            base = r.integers(0, 1 << 62, n).astype(np.uint64)
+            for k in range(12):
+                cut = int(r.integers(0, n // 6 + 1)) if k < 8 else n // 2
+                sets.append(np.unique(np.concatenate([base[cut:], r.integers(0, 1 << 62, cut // 2 if k < 8 else cut).astype(np.uint64)])))
+        sizes = np.array([len(s) for s in sets])
+        pairs = oj.may_link(sizes, [oj.sketch(s) for s in sets], num, den)
+        label = list(range(len(sets)))
+        for a, b in pairs:
+            label = [label[a] if x == label[b] else x for x in label]
+        assert len(pairs) == len(sets) - len(set(label))
+        for a in range(len(sets)):
+            for b in range(a):
+                i = len(np.intersect1d(sets[a], sets[b]))
+                if i and den * i >= num * len(np.union1d(sets[a], sets[b])):
+                    assert label[a] == label[b]
+        for f in range(4, 12):  # half of the elements are others: not one family
+            assert len({label[f * 12 + k] for k in range(8, 12)}) > 2
+
+
+def test_families_of_a_crowd_under_one_key(spark, monkeypatch):
+    r = np.random.default_rng(10)
+    bases = [r.integers(0, 1 << 62, 100).astype(np.uint64) for _ in range(3)]
+    sets = [np.concatenate([b[k:], r.integers(0, 1 << 62, k).astype(np.uint64)]) for b in bases for k in range(5)]
+    rows = [(k, len(s), bytearray(oj.sketch(s))) for k, s in enumerate(sets)]
+    own = spark.createDataFrame(rows, "h1 long, n long, sketch binary")
+    shared = spark.createDataFrame([(1, k) for k in range(15)] + [(2, 0), (2, 7)], "key long, node long")
+    got = dict(tuple(x) for x in oj._families(shared, own, 8, 10).collect())
+    assert got == {k: k // 5 * 5 for k in range(15)}
+    monkeypatch.setattr(oj, "HELD", 10)  # beyond it nothing is ruled out
+    got = dict(tuple(x) for x in oj._families(shared, own, 8, 10).collect())
+    assert got == dict.fromkeys(range(15), 0)
+
+
 def test_components_of_a_path_and_a_star(spark):
     links = [(k, k + 1) for k in range(60)] + [(100, 200 + k) for k in range(300)] + [(5, 5), (None, 3), (7, 8)]
     got = dict(tuple(r) for r in components(spark.createDataFrame(links, "a long, b long")).collect())
