@@ -31,7 +31,8 @@ from tandem.llm.common import documents, id_text, prepare, slices, unused, with_
 
 LENGTH = 50
 GRAM = 16
-HASH = np.uint64(((1 << 48) - 1) << 16)  # the bits of a hash that are sent; a false match only costs a look
+LOW = np.uint64(24)  # low bits of a hash that are not sent; a false match only costs a look
+HASH = np.uint64((1 << 64) - 1) >> LOW << LOW
 PIECE = 1 << 18  # characters worked on at a time: the arrays stay in a core's cache
 BUCKET_CHARS = 2 << 20  # bytes of the corpus for each bucket
 
@@ -106,7 +107,7 @@ def _contexts(length: int, gram: int, buckets: int):
                 wanted = np.concatenate([np.asarray(k, np.int64) for k in part["keys"]]).view(np.uint64)
                 of = np.repeat(np.arange(len(part)), sizes).astype(np.uint64)
                 hit = np.flatnonzero(np.isin(_mix(key, doc.astype(np.uint64)), _mix(wanted, of)))
-                bucket = ((key[hit] >> np.uint64(16)) % np.uint64(buckets)).astype(np.int64)
+                bucket = ((key[hit] >> LOW) % np.uint64(buckets)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")
                 hit, bucket = hit[order], bucket[order]
                 first, last, doc = first[hit], last[hit], doc[hit]
@@ -324,7 +325,8 @@ def _spans(rows: DataFrame, length: int, gram: int, bucket_chars: int) -> DataFr
     contexts = rows.join(wanted, "doc_id").select("doc_id", "th", "text", "keys").mapInPandas(
         _contexts(length, gram, buckets), CONTEXTS)
     marks = contexts.groupBy("bucket").applyInPandas(_marks(length), "doc_id long, th int, begin long, stop long")
-    return marks.groupBy("doc_id").agg(F.collect_list(F.struct("th", "begin", "stop")).alias("spans"))
+    # dealt before they are collected: as plain rows, not as a list for each mark
+    return marks.repartition("doc_id").groupBy("doc_id").agg(F.collect_list(F.struct("th", "begin", "stop")).alias("spans"))
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bucket_chars: int = BUCKET_CHARS) -> DataFrame:

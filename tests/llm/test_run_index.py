@@ -94,3 +94,11 @@ def test_columns_named_like_the_stage_s_own(spark):
     rows = sorted((tuple(r) for r in out.collect()), key=lambda r: (r[0] is None, r[0]))
     assert [r[2:] for r in rows] == [("m", 7, "p", 1.5), ("n", 8, "q", 2.5), ("o", 9, "r", None)]
     assert rows[0][1] == "a " + shared and len(rows[1][1]) < 5 and rows[2][1] == shared
+
+
+def test_sent_hashes_have_forty_bits_and_fill_all_buckets():
+    data = np.random.default_rng(3).integers(97, 123, 40_000).astype(np.uint8)
+    key, _, _, _ = ri.anchors(data, np.array([len(data)]))
+    assert not (key & np.uint64((1 << 24) - 1)).any()
+    assert len(np.unique(key)) > 0.99 * len(key)
+    assert len(np.unique((key >> ri.LOW) % np.uint64(64))) == 64
