@@ -87,7 +87,7 @@ def _queue_ids(path: str, end_id: int):
         enc = encoder(path)
         end = np.array([end_id], enc.dtype).tobytes()
         seen: dict[str, int] = {}
-        for pdf in slices(batches, "text"):
+        for pdf in slices(batches, "text", 4 << 20):
             ids = [x + end for x in enc.encode(pdf["text"].tolist())]
             n = [len(x) // enc.dtype.itemsize for x in ids]
             before = []

@@ -15,6 +15,7 @@ import re
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 
 MEMO = 800_000  # pieces kept by one worker
 SEP = "\x00"
@@ -22,7 +23,7 @@ LONGEST = 40  # symbols of a pre-token that is merged in lockstep; longer ones g
 
 # Other white space than these four may end a run of spaces in one regex engine and not in another: such texts go
 # to the library whole.
-_PIECE = re.compile("[ \n\t\r]*[^ \n\t\r]+|[ \n\t\r]+")
+_SPACE = np.isin(np.arange(256), np.frombuffer(b" \n\t\r", np.uint8))
 _ODD = re.compile("[\\x0b\\x0c\\x1c-\\x1f\\x85\\xa0\\u1680\\u180e\\u2000-\\u200f\\u2028-\\u202f\\u205f\\u2060\\u3000\\ufeff]")
 _LATIN = re.compile("[\n\t\r -~\\xa1-\\u012f\\u0131-\\u024f]+")
 
@@ -192,11 +193,22 @@ class PieceEncoder:
         ids = b"".join(ids)
         self.memo.update(zip(pieces, (ids[a:b] for a, b in zip([0, *ends], ends, strict=False)), strict=True))
 
-    def _pieces(self, text: str) -> list[str]:
-        if not self.merges.lower:
-            return _PIECE.findall(text)
-        # a file that lower-cases and drops white space: words alone, and fewer of them
-        return (text.lower() if text.isascii() or _LATIN.fullmatch(text) else text).split()
+    def _pieces(self, texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+        """The pieces of all texts in a row, cut before every run of spaces, and the number of pieces before each text
+        and in all."""
+        if self.merges.lower:
+            texts = [t.lower() if t.isascii() or _LATIN.fullmatch(t) else t for t in texts]
+        raw = [t.encode() for t in texts]
+        begin = np.cumsum([0, *map(len, raw)])
+        data = np.frombuffer(b"".join(raw), np.uint8)
+        space = _SPACE[data]
+        first = space.copy()
+        first[1:] &= ~space[:-1]
+        first[begin[:-1][begin[:-1] < begin[1:]]] = True
+        at = np.flatnonzero(first)
+        offsets = pa.py_buffer(np.append(at, len(data)).astype(np.int64))
+        return (pa.Array.from_buffers(pa.large_string(), len(at), [None, offsets, pa.py_buffer(data)]),
+                np.searchsorted(at, begin))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian integers of ``dtype``."""
@@ -205,13 +217,24 @@ class PieceEncoder:
             memo.clear()
         odd = [i for i, t in enumerate(texts) if _ODD.search(t)]
         whole = dict(zip(odd, self._library([texts[i] for i in odd]), strict=True))
-        cut = [() if i in whole else self._pieces(t) for i, t in enumerate(texts)]
-        new: set[str] = set()
-        for pieces in cut:
-            new.update(pieces)
-        if new := new.difference(memo):
-            self._learn(list(new))
-        return [whole[i] if i in whole else b"".join(map(memo.__getitem__, pieces)) for i, pieces in enumerate(cut)]
+        pieces, before = self._pieces(["" if i in whole else t for i, t in enumerate(texts)])
+        # each distinct piece is looked up once; its ids are then taken to all its places
+        cut = pieces.dictionary_encode()
+        distinct = cut.dictionary.to_numpy(zero_copy_only=False).tolist()
+        if self.merges.lower:
+            # a file that lower-cases and drops white space: words alone, and fewer of them
+            distinct = [p.strip() for p in distinct]
+        own = list(map(memo.get, distinct))
+        if new := [k for k, known in enumerate(own) if known is None]:
+            self._learn(list({distinct[k] for k in new}))
+            for k in new:
+                own[k] = memo[distinct[k]]
+        ids = pa.array(own, pa.large_binary()).take(cut.indices)
+        _, ends, flow = ids.buffers()
+        ends = np.frombuffer(ends, np.int64, len(ids) + 1)[before].tolist() if len(ids) else [0] * (len(texts) + 1)
+        flow = memoryview(flow) if flow else b""
+        return [whole[i] if i in whole else bytes(flow[a:b])
+                for i, (a, b) in enumerate(zip(ends, ends[1:], strict=False))]
 
 
 @lru_cache(maxsize=4)

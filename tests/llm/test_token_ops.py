@@ -146,3 +146,20 @@ def test_query_counts_come_from_stored_tables(spark, tmp_path, monkeypatch):
     # the tables alone are read, not the sums next to them
     fake = stored[0].limit(1).selectExpr("doc_id", "n_bytes", "-1L n_tokens", "-1L fits", "changes")
     assert prefix_counts.read_tables(fake).first()["n_tokens"] >= 0
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_pieces_are_cut_in_arrays(name):
+    """A batch is never held as one string a piece, and the ids are the library's."""
+    import tracemalloc
+
+    e, lib = encoder(file(name)), Tokenizer.from_file(file(name))
+    texts = ["", " ab", "ab \n\tAb", "\n\n", "ab" * 30, "é İ ab", "ab ab", " ab" * 400_000, "", "ab "]
+    tracemalloc.start()
+    got = e.encode(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    for text, ids in zip(texts, got, strict=True):
+        assert np.frombuffer(ids, e.dtype).tolist() == lib.encode(text, add_special_tokens=False).ids
+    assert peak < 16 * len("".join(texts))
+    assert e.encode([]) == [] and e.encode(["", ""]) == [b"", b""]
