@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
 from tandem.llm.common import any_id, documents, null_ids, prepare, slices
-from tandem.llm.tokens import PairTable, file, same_size
+from tandem.llm.tokens import NO_SYMBOL, PairTable, file, like_size
 
 SPACE = "▁"
 RATE = 0.1
@@ -99,6 +99,8 @@ class Pieces:
         self.bytes = [b""] * self.size
         for p, i in plain.items():
             self.bytes[i] = p.replace(SPACE, " ").encode()
+        self.n_chars = np.ones(self.size + 1, np.int64)  # of each piece; the last for what has none
+        self.n_chars[list(plain.values())] = [len(p) for p in plain]
         for b, i in enumerate(self.byte):
             self.bytes[i] = bytes([b])
         # symbol of every code point; the model's space sign itself goes to bytes, a space is that sign
@@ -128,10 +130,13 @@ class Pieces:
         """Numbers of new nodes: units are merged, ``skip(rows, spans)`` rules out candidates, and the merges after
         the first ``before`` are kept with the ids; none without ``before``."""
         nodes = np.empty(len(units), np.int64)
-        for rows in same_size([len(u) for u in units]):
-            own = [units[r] for r in rows]
-            points = np.frombuffer("".join(own).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(own), -1)
-            sym = self.of_char[points]
+        length = [len(u) for u in units]
+        for rows in like_size(length):
+            chars = np.array([length[r] for r in rows.tolist()], np.int64)
+            points = np.frombuffer("".join([units[r] for r in rows.tolist()]).encode("utf-32-le", "surrogatepass"), np.uint32)
+            within = np.arange(chars[0]) < chars[:, None]
+            sym = np.full(within.shape, NO_SYMBOL, np.int64)
+            sym[within] = self.of_char[points]
             path = np.zeros(sym.shape, np.uint64)
 
             def ruled_out(row: np.ndarray, begin: np.ndarray, end: np.ndarray, rows=rows) -> np.ndarray:
@@ -139,19 +144,20 @@ class Pieces:
 
             merged, n = self.table.merge(sym, ruled_out if skip else None, path)
             place = np.arange(merged.shape[1])
+            made = merged.shape[1] - n
+            n = chars - made
             held = place < n[:, None]
             odd = ((merged >= self.size) & held).any(axis=1)
             for k in (~odd, odd):
                 if not k.any():
                     continue
                 if k is odd:
-                    ids = [self._with_bytes(own[r], merged[r, :n[r]]) for r in np.flatnonzero(odd).tolist()]
-                    flow = np.frombuffer(b"".join(ids), self.dtype)
-                    sizes = np.array([len(i) for i in ids], np.int64) // self.dtype.itemsize
+                    flow, count = self._with_bytes(merged[k][held[k]], points[np.repeat(odd, chars)])
+                    sizes = np.add.reduceat(count, np.cumsum(n[k]) - n[k])
                 else:
                     flow, sizes = merged[k][held[k]], n[k]
                 least = len(place) if before is None else before[rows[k]][:, None]
-                kept = (place >= least) & (place < merged.shape[1] - n[k][:, None])
+                kept = (place >= least) & (place < made[k][:, None])
                 first = self.start.n
                 nodes[rows[k]] = np.arange(first, first + len(sizes))
                 self.unit += [units[r] if before is not None else "" for r in rows[k].tolist()]
@@ -195,7 +201,10 @@ class Pieces:
         """Ids of units one after another, and how many each has."""
         if len(self.unit) > MEMO or self.flow.n > 16 * MEMO:
             self._forget()
-        fresh = {u: c for u, c in Counter(units).items() if u not in self.memo and len(u) <= LONGEST}
+        node = np.fromiter(map(self.memo.get, units, repeat(-1)), np.int64, len(units))
+        lacking = np.flatnonzero(node < 0)
+        own = [units[i] for i in lacking.tolist()]
+        fresh = {u: c for u, c in Counter(own).items() if len(u) <= LONGEST}
         new = [u for u, c in fresh.items() if c > 1 or u in self.once]
         if len(self.once) > ONCE:
             self.once.clear()
@@ -203,7 +212,7 @@ class Pieces:
         self.once.update(fresh.keys() - set(new))
         roots = self._add(new, before=np.zeros(len(new), np.int64))
         self.memo.update(zip(new, roots.tolist(), strict=True))
-        node = np.fromiter(map(self.memo.get, units, repeat(-1)), np.int64, len(units))
+        node[lacking] = np.fromiter(map(self.memo.get, own, repeat(-1)), np.int64, len(own))
         live = np.flatnonzero(node >= 0) if rate > 0 else np.empty(0, np.int64)
         while len(live):
             n = self.count.all[node[live]]
@@ -228,17 +237,17 @@ class Pieces:
         del self.unit[lasting[1]:], self.skips[lasting[1]:]
         return ids, n
 
-    def _with_bytes(self, unit: str, symbols: np.ndarray) -> bytes:
-        """Symbols without an id become the bytes of the characters that they stand for."""
-        ids, at = [], 0
-        for s in symbols.tolist():
-            if s >= self.size:
-                ids += self.byte[list(unit[at].encode("utf-8", "surrogatepass"))].tolist()
-                at += 1
-            else:
-                ids.append(s)
-                at += len(self.bytes[s].decode())
-        return np.array(ids, self.dtype).tobytes()
+    def _with_bytes(self, symbols: np.ndarray, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols without an id become the bytes of the characters that they stand for; how many each symbol became."""
+        odd = symbols >= self.size
+        n_chars = self.n_chars[np.where(odd, self.size, symbols)]
+        char = points[(np.cumsum(n_chars) - n_chars)[odd]]
+        text = char.tobytes().decode("utf-32-le", "surrogatepass").encode("utf-8", "surrogatepass")
+        count = np.ones(len(symbols), np.int64)
+        count[odd] += (char >= 0x80).astype(np.int64) + (char >= 0x800) + (char >= 0x10000)
+        ids = np.repeat(symbols, count)
+        ids[np.repeat(odd, count)] = self.byte[np.frombuffer(text, np.uint8)]
+        return ids, count
 
     def encode(self, text: str, doc_id: int = 0, rate: float = RATE, seed: int = SEED) -> bytes:
         """Ids of a text as little-endian integers of ``dtype``; an empty text has none."""

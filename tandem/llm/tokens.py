@@ -19,6 +19,8 @@ import pyarrow as pa
 
 MEMO = 800_000  # pieces kept by one worker
 SEP = "\x00"
+NO_SYMBOL = 1 << 30  # in no merge: fills up rows
+FEW = 512  # rows of a size that are merged together with shorter ones
 LONGEST = 40  # symbols of a pre-token that is merged in lockstep; longer ones go to the library
 
 # Other white space than these four may end a run of spaces in one regex engine and not in another: such texts go
@@ -150,6 +152,17 @@ def same_size(sizes: list[int]) -> list[np.ndarray]:
     return [g for g in np.split(order, np.flatnonzero(np.diff(size[order])) + 1) if len(g)]
 
 
+def like_size(sizes: list[int]) -> list[np.ndarray]:
+    """Indices grouped by size, longest first; where a size has few, shorter ones join it, down to two thirds."""
+    groups: list[np.ndarray] = []
+    for g in reversed(same_size(sizes)):
+        if groups and len(groups[-1]) < FEW and 3 * sizes[g[0]] >= 2 * sizes[groups[-1][0]]:
+            groups[-1] = np.concatenate([groups[-1], g])
+        else:
+            groups.append(g)
+    return groups
+
+
 def cut_rows(sym: np.ndarray, n: np.ndarray, dtype: np.dtype) -> list[bytes]:
     """The first ``n`` symbols of each row as bytes."""
     flow = sym[np.arange(sym.shape[1]) < n[:, None]].astype(dtype).tobytes()

@@ -163,3 +163,27 @@ def test_pieces_are_cut_in_arrays(name):
         assert np.frombuffer(ids, e.dtype).tolist() == lib.encode(text, add_special_tokens=False).ids
     assert peak < 16 * len("".join(texts))
     assert e.encode([]) == [] and e.encode(["", ""]) == [b"", b""]
+
+
+def test_dropout_merges_rare_sizes_together(monkeypatch):
+    """Units of many lengths, few of each, are merged in few rounds and cut as one by one; characters without a piece
+    become bytes wherever they stand."""
+    from tandem.llm import dropout
+    from tandem.llm.tokens import PairTable
+
+    path = file("piece_bpe_32k.model")
+    words = [w + c * (k % 3) for k in range(24) for c, w in (("é", "information"[:k % 11 + 1] * 3), ("𐍈", "x" * (k + 1)), ("▁", "of"))]
+    text = " ".join(words) + "  ͸ " + "ab" * 200
+    calls = []
+    merge = PairTable.merge
+    monkeypatch.setattr(PairTable, "merge", lambda self, sym, *a: calls.append(sym.shape) or merge(self, sym, *a))
+    p = dropout.Pieces(path)
+    plain = p.encode(text, rate=0.0)
+    sizes = {len(w) + 1 for w in words}
+    assert len(calls) <= len(sizes) and len(sizes) > 20
+    assert p.decode(plain) == text and p.decode(p.encode(text, 7)) == text
+    one_by_one = b"".join(dropout.Pieces(path).encode(w, rate=0.0) for w in words)
+    assert plain.startswith(one_by_one)
+    # the draws of an occurrence do not depend on what is merged beside it
+    some = [t * n for n, t in enumerate(("", "a bé ", "weak forms 𐍈 ", "ab"))]
+    assert p.encode_all(some, [3, 4, 5, 6]) == [dropout.Pieces(path).encode(t, i) for t, i in zip(some, (3, 4, 5, 6), strict=True)]
