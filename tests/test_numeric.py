@@ -296,6 +296,17 @@ def test_ease_rounds_leave_no_tables_behind(spark, tmp_path):
     assert a == b and len(a) == 40 * 7
 
 
+def test_ease_tiles_lie_in_files_of_their_own(spark, tmp_path):
+    """A file's writer and reader hold all its tiles at once: one a file, however many tiles a task has."""
+    df = spark.createDataFrame([(u, (u * 7 + k * k) % 23) for u in range(30) for k in range(4)], "uid long, item_id long")
+    model = ease.fit(df, top_k_items=100, l2_reg=2.0, tile=8, path=str(tmp_path / "m"), width=4)
+    for name, rows in (("gram", 6), ("weights", 18)):
+        tiles = spark.read.parquet(f"{model.path}/{name}")
+        files = [len(part) for part in tiles.select("bi", F.input_file_name().alias("f")).toPandas().groupby("f")["bi"].apply(list)]
+        assert files == [1] * rows
+    assert all(r.ok for r in ease.residual_check(model).collect())
+
+
 def test_ease_column_width():
     assert ease.column_width(2000, 2048) == 2048 and ease.column_width(60_000, 2048) == 512
     assert ease.column_width(10**7, 2048) == 64 and ease.column_width(10, 16) == 16
