@@ -5,10 +5,11 @@
    checked by one window function over (hash, document) pairs.
 2. Contexts. Around each such anchor, the bytes of all windows that name it (at most 2 * LENGTH - GRAM of them) go to a
    bucket of the hash. All equal windows of the corpus meet in one bucket, whatever documents they are in.
-3. Index. A bucket's distinct contexts, which by construction repeat each other, become a run-compressed
-   Burrows-Wheeler transform with text positions sampled at the run ends (``RunIndex``). Only at run heads is the match
-   with the suffix before compared byte by byte; along each text the match length of the next position follows from the
-   last sample (it shrinks by one), so all matching statistics stream off the samples.
+3. Index. A bucket's distinct contexts of anchors with two of them or more, which by construction repeat each other,
+   become run-compressed Burrows-Wheeler transforms with text positions sampled at the run ends (``RunIndex``), those of
+   an anchor always the same one. A context that no other shares its anchor with repeats only as a whole. Only at run
+   heads is the match with the suffix before compared byte by byte; along each text the match length of the next
+   position follows from the last sample (it shrinks by one), so all matching statistics stream off the samples.
 4. Marks. Rows whose matches reach LENGTH bytes form classes of equal windows; a window is removed in every document
    but the smallest of its class.
 
@@ -19,11 +20,11 @@ context are one text of the index with a list of places.
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -34,7 +35,9 @@ GRAM = 16
 LOW = np.uint64(24)  # low bits of a hash that are not sent; a false match only costs a look
 HASH = np.uint64((1 << 64) - 1) >> LOW << LOW
 PIECE = 1 << 18  # characters worked on at a time: the arrays stay in a core's cache
-BUCKET_CHARS = 2 << 20  # bytes of the corpus for each bucket
+BUCKET_CHARS = 4 << 20  # bytes of the corpus for each bucket
+PLACES = 1 << int(LOW)  # numbers that fit beside a hash
+INDEX_BYTES = 1 << 17  # bytes of contexts that go to one index: its arrays stay in a core's cache
 
 
 def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -42,99 +45,139 @@ def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
 
 
-def anchors(data: np.ndarray, ends: np.ndarray, length: int = LENGTH, gram: int = GRAM):
-    """(hash, first window, last window, document) of each anchor; ``data`` holds documents that end at ``ends``.
-
-    ``gram`` is a power of two. Windows never cross documents.
-    """
-    none = np.zeros(0, np.int64)
-    if len(data) < length:
-        return none.astype(np.uint64), none, none, none
-    h = data.astype(np.uint64) + np.uint64(1)
-    step = 1
+def _grams(data: np.ndarray, gram: int) -> np.ndarray:
+    """A hash of the ``gram`` bytes from each place on; ``gram`` is a power of two."""
+    if gram >= 8:  # eight bytes are read as one number
+        h, step = _mix(np.ndarray(len(data) - 7, "<u8", np.ascontiguousarray(data), 0, (1,)), np.uint64(gram)), 8
+    else:
+        h, step = data.astype(np.uint64) + np.uint64(1), 1
     while step < gram:
         h = _mix(h[:-step], h[step:])
         step *= 2
-    width = length - gram + 1
-    best, at, have = h, np.arange(len(h)), 1
-    while have < width:  # the least hash of the next ``have`` places, leftmost on ties
+    return h
+
+
+def _anchors(data: np.ndarray, ends: np.ndarray, length: int, gram: int):
+    """What ``anchors`` gives and the place of each anchor. A hash and its place are one number, so the least of such
+    numbers is the least hash, leftmost on ties."""
+    none = np.zeros(0, np.int64)
+    if len(data) < length:
+        return none.astype(np.uint64), none, none, none, none
+    if len(data) > PLACES:  # windows in parts; an anchor between two parts is named in both
+        parts = []
+        for lo in range(0, len(data) - length + 1, PLACES // 2):
+            part = data[lo:lo + PLACES // 2 + length - 1]
+            key, first, last, doc, at = _anchors(part, np.clip(ends - lo, 0, len(part)), length, gram)
+            parts.append((key, first + lo, last + lo, doc, at + lo))
+        return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+    best = _grams(data, gram) & HASH
+    best |= np.arange(len(best), dtype=np.uint64)
+    have, width = 1, length - gram + 1
+    while have < width:  # the least of the next ``have`` places
         go = min(have, width - have)
-        left, right = best[:len(best) - go], best[go:]
-        less = right < left
-        best, at = np.where(less, right, left), np.where(less, at[go:], at[:len(at) - go])
+        best = np.minimum(best[:len(best) - go], best[go:])
         have += go
+    new = np.ones(len(best) + 1, bool)
+    np.not_equal(best[1:], best[:-1], out=new[1:-1])
     begin = np.concatenate([[0], ends[:-1]])
-    doc = np.repeat(np.arange(len(ends)), ends - begin)[:len(at)]
-    whole = np.arange(len(at)) + length <= ends[doc]
-    new = np.concatenate([[True], (at[1:] != at[:-1]) | (whole[1:] != whole[:-1]) | (doc[1:] != doc[:-1])])
-    first = np.flatnonzero(new)
-    last = np.append(first[1:], len(at)) - 1
-    ok = whole[first]
-    first, last = first[ok], last[ok]
-    return h[at[first]] & HASH, first, last, doc[first]
+    long = ends - begin >= length
+    new[begin[long]] = new[ends[long] - length + 1] = True
+    edge = np.flatnonzero(new)
+    first, last = edge[:-1], edge[1:] - 1
+    doc = np.searchsorted(ends, first, side="right")
+    ok = first + length <= ends[doc]
+    first, last, doc = first[ok], last[ok], doc[ok]
+    return best[first] & HASH, first, last, doc, (best[first] & ~HASH).astype(np.int64)
+
+
+def anchors(data: np.ndarray, ends: np.ndarray, length: int = LENGTH, gram: int = GRAM):
+    """(hash, first window, last window, document) of each anchor; ``data`` holds documents that end at ``ends``.
+
+    ``gram`` is a power of two. Windows never cross documents.
+    """
+    return _anchors(data, ends, length, gram)[:4]
+
+
+def _pairs(doc: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """A document's number, below ``PLACES``, and a hash as one number."""
+    return doc.astype(np.uint64) << (np.uint64(64) - LOW) | key >> LOW
 
 
 def _grouped(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(texts), np.uint8), np.cumsum([len(t) for t in texts])
 
 
+def _short(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Batches of fewer than ``PLACES`` rows."""
+    for pdf in batches:
+        for lo in range(0, len(pdf), PLACES - 1):
+            yield pdf.iloc[lo:lo + PLACES - 1]
+
+
 def _keys(length: int, gram: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """(hash, document) pairs, each once for a document."""
-        for pdf in slices(batches, "text", PIECE):
+        for pdf in slices(_short(batches), "text", PIECE):
             key, _, _, doc = anchors(*_grouped([t.encode("utf-8", "surrogatepass") for t in pdf["text"]]), length, gram)
-            order = np.lexsort((key, doc))
-            key, doc = key[order], doc[order]
-            new = np.concatenate([[True], (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])]) if len(key) else np.zeros(0, bool)
-            rows = doc[new]
-            yield pd.DataFrame({"key": key[new].view(np.int64), "doc_id": pdf["doc_id"].to_numpy()[rows]})
+            pair = np.sort(_pairs(doc, key))
+            pair = pair[np.concatenate([[True], pair[1:] != pair[:-1]])[:len(pair)]]
+            yield pd.DataFrame({"key": (pair << LOW).view(np.int64),
+                                "doc_id": pdf["doc_id"].to_numpy()[(pair >> (np.uint64(64) - LOW)).astype(np.int64)]})
     return run
 
 
 CONTEXTS = "bucket long, places binary, ctx binary"
-PLACE = np.dtype([("doc", "<i8"), ("start", "<i8"), ("size", "<i4"), ("th", "<i4")])
+PLACE = np.dtype([("doc", "<i8"), ("start", "<i8"), ("size", "<i4"), ("th", "<i4"), ("gram", "<i4")])
 
 
 def _contexts(length: int, gram: int, buckets: int):
+    def found(part: pd.DataFrame):
+        """Buckets, places and bytes of the contexts of a piece."""
+        data, ends = _grouped([t.encode("utf-8", "surrogatepass") for t in part["text"]])
+        key, first, last, doc, at = _anchors(data, ends, length, gram)
+        of = np.repeat(np.arange(len(part)), [len(k) for k in part["keys"]])
+        wanted = np.concatenate([np.asarray(k, np.int64) for k in part["keys"]]).view(np.uint64)
+        hit = np.flatnonzero(np.isin(_pairs(doc, key), _pairs(of, wanted)))
+        key, first, last, doc, at = key[hit], first[hit], last[hit], doc[hit], at[hit]
+        places = np.zeros(len(hit), PLACE)
+        places["doc"], places["th"] = part["doc_id"].to_numpy()[doc], part["th"].to_numpy()[doc]
+        places["start"] = first - np.concatenate([[0], ends[:-1]])[doc]
+        places["size"] = last + length - first
+        places["gram"] = at - first
+        flow = data.tobytes()
+        ctx = [flow[f:e] for f, e in zip(first.tolist(), (last + length).tolist(), strict=True)]
+        return ((key >> LOW) % np.uint64(buckets)).astype(np.int64), places, ctx
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in slices(batches, "text"):
-            held: dict[int, list] = {}
-            for part in slices(iter([pdf]), "text", PIECE):
-                texts = [t.encode("utf-8", "surrogatepass") for t in part["text"]]
-                data, ends = _grouped(texts)
-                key, first, last, doc = anchors(data, ends, length, gram)
-                sizes = [len(k) for k in part["keys"]]
-                wanted = np.concatenate([np.asarray(k, np.int64) for k in part["keys"]]).view(np.uint64)
-                of = np.repeat(np.arange(len(part)), sizes).astype(np.uint64)
-                hit = np.flatnonzero(np.isin(_mix(key, doc.astype(np.uint64)), _mix(wanted, of)))
-                bucket = ((key[hit] >> LOW) % np.uint64(buckets)).astype(np.int64)
-                order = np.argsort(bucket, kind="stable")
-                hit, bucket = hit[order], bucket[order]
-                first, last, doc = first[hit], last[hit], doc[hit]
-                places = np.zeros(len(hit), PLACE)
-                places["doc"], places["th"] = part["doc_id"].to_numpy()[doc], part["th"].to_numpy()[doc]
-                places["start"] = first - np.concatenate([[0], ends[:-1]])[doc]
-                places["size"] = last + length - first
-                flow = data.tobytes()
-                ctx = [flow[f:e] for f, e in zip(first.tolist(), (last + length).tolist(), strict=True)]
-                cut = np.flatnonzero(np.diff(bucket)) + 1
-                for a, b in zip([0, *cut.tolist()], [*cut.tolist(), len(hit)], strict=True):
-                    if a < b:
-                        own = held.setdefault(int(bucket[a]), ([], []))
-                        own[0].extend(ctx[a:b])
-                        own[1].append(places[a:b])
-            yield pd.DataFrame([(b, _packed(np.concatenate(own[1])), zlib.compress(b"".join(own[0]), 4)) for b, own in held.items()],
+        for pdf in slices(_short(batches), "text"):
+            parts = [found(part) for part in slices(iter([pdf]), "text", PIECE)]
+            bucket, places = (np.concatenate([p[k] for p in parts]) for k in range(2))
+            ctx = [c for p in parts for c in p[2]]
+            order = np.argsort(bucket, kind="stable")
+            bucket, places = bucket[order], places[order]
+            ctx = [ctx[k] for k in order.tolist()]
+            cut = np.flatnonzero(np.diff(bucket)) + 1
+            yield pd.DataFrame([(int(bucket[a]), _packed(places[a:b]), _squeezed(b"".join(ctx[a:b])))
+                                for a, b in zip([0, *cut.tolist()], [*cut.tolist(), len(ctx)], strict=True) if a < b],
                                columns=[c.split()[0] for c in CONTEXTS.split(", ")])
     return run
 
 
+def _squeezed(data: bytes) -> bytes:
+    return len(data).to_bytes(8, "little") + pa.Codec("zstd", compression_level=3).compress(data, asbytes=True)
+
+
+def _expanded(data: bytes) -> bytes:
+    return pa.decompress(memoryview(data)[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True)
+
+
 def _packed(places: np.ndarray) -> bytes:
     """Places of contexts, column by column, so that like bytes stand together."""
-    return zlib.compress(b"".join(places[f].tobytes() for f in PLACE.names), 4)
+    return _squeezed(b"".join(places[f].tobytes() for f in PLACE.names))
 
 
 def _unpacked(data: bytes) -> dict[str, np.ndarray]:
-    data, at, out = zlib.decompress(data), 0, {}
+    data, at, out = _expanded(data), 0, {}
     n = len(data) // PLACE.itemsize
     for f in PLACE.names:
         out[f] = np.frombuffer(data, PLACE[f], n, at)
@@ -208,16 +251,20 @@ class RunIndex:
         at = np.full(n, -1, np.int64)
         rows = self.head[1:]
         p, q = self.order[rows], self.order[rows - 1]
-        for lo in range(0, len(p), 1 << 15):  # only run heads are compared
+        words = np.ndarray(n, "<u8", np.concatenate([self.text - 1, np.zeros(8)]).astype(np.uint8), 0, (1,))
+        for lo in range(0, len(p), 1 << 15):  # only run heads are compared, eight bytes at a time
             a, b = p[lo:lo + (1 << 15)], q[lo:lo + (1 << 15)]
             most = np.minimum(self.left[a], self.left[b])
-            same = np.zeros(len(a), np.int64)
-            live, k = np.arange(len(a)), 0
+            same = most.copy()
+            live, k = np.flatnonzero(most), 0
             while len(live):
+                other = words[a[live] + k] ^ words[b[live] + k]
+                ends = other != 0
+                here, other = live[ends], other[ends]
+                same[here] = np.minimum(most[here], k + (np.bitwise_count((other & (~other + np.uint64(1))) - np.uint64(1)) >> 3))
+                k += 8
+                live = live[~ends]
                 live = live[most[live] > k]
-                live = live[self.text[a[live] + k] == self.text[b[live] + k]]
-                k += 1
-                same[live] = k
             at[a] = same
         if n:
             at[self.order[0]] = 0
@@ -235,42 +282,78 @@ class RunIndex:
         return np.flatnonzero(long), np.cumsum(shared < length)[long]
 
 
-def _marks(length: int):
+def _first_documents(texts: list[bytes], least: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each window of ``length`` bytes, text by text, the smallest document of its class, and each text's first
+    window; ``least`` has the smallest document of a text."""
+    index = RunIndex(texts)
+    rows, cls = index.classes(length)
+    place = index.order[rows]
+    first_doc = np.full(int(cls.max(initial=-1)) + 1, np.iinfo(np.int64).max)
+    np.minimum.at(first_doc, cls, least[index.owner[place]])
+    window = np.empty(len(index.text), np.int64)
+    window[place] = first_doc[cls]
+    count = index.size_of - length + 1
+    begin = np.cumsum(count) - count
+    return window[index.left >= length], begin
+
+
+def _marks(length: int, gram: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         ids: dict[bytes, int] = {}
-        of, places = [], []
+        families: dict[bytes, int] = {}
+        of, family, places = [], [], []
         for r in pdf.itertuples():
-            flow, at = zlib.decompress(r.ctx), 0
+            flow, at = _expanded(r.ctx), 0
             places.append(_unpacked(r.places))
-            for n in places[-1]["size"].tolist():
-                of.append(ids.setdefault(flow[at:at + n], len(ids)))
+            for n, g in zip(places[-1]["size"].tolist(), places[-1]["gram"].tolist(), strict=True):
+                text = flow[at:at + n]
+                k = ids.setdefault(text, len(ids))
+                if k == len(family):
+                    family.append(families.setdefault(text[g:g + gram], len(families)))
+                of.append(k)
                 at += n
-        of = np.array(of)
+        of, family, texts = np.array(of), np.array(family), list(ids)
         doc, start, th = (np.concatenate([p[f] for p in places]) for f in ("doc", "start", "th"))
-        least = np.full(len(ids), np.iinfo(np.int64).max)
+        least = np.full(len(texts), np.iinfo(np.int64).max)
         np.minimum.at(least, of, doc)
-        index = RunIndex(list(ids))
-        rows, cls = index.classes(length)
-        place = index.order[rows]
-        owner = index.owner[place]
-        first_doc = np.full(int(cls.max(initial=-1)) + 1, np.iinfo(np.int64).max)
-        np.minimum.at(first_doc, cls, least[owner])
-        window = np.full(len(index.text), np.iinfo(np.int64).max)
-        window[place] = first_doc[cls]
+        # equal windows name equal anchors: a context that no other shares its anchor with has all its windows to itself,
+        # and contexts with different anchors may go to different indexes
+        low, high = least.copy(), least.copy()
+        size = np.array([len(t) for t in texts])
+        met = np.flatnonzero(np.bincount(family)[family] > 1)
+        met = met[np.argsort(family[met], kind="stable")]
+        spans = [np.zeros((0, 4), np.int64)]
+        slot, base, windows = np.full(len(texts), -1), 0, []
+        new = np.flatnonzero(np.diff(family[met], prepend=-1))
+        fill = np.cumsum(size[met])
+        at = 0
+        while at < len(met):
+            to = int(np.searchsorted(fill, (fill[at - 1] if at else 0) + INDEX_BYTES, side="right"))
+            k = int(np.searchsorted(new, to, side="right")) - 1  # whole families, one at least
+            to = len(met) if to >= len(met) else int(new[k]) if new[k] > at else int(new[k + 1]) if k + 1 < len(new) else len(met)
+            some = met[at:to]
+            window, begin = _first_documents([texts[k] for k in some.tolist()], least[some], length)
+            low[some], high[some] = np.minimum.reduceat(window, begin), np.maximum.reduceat(window, begin)
+            slot[some] = base + begin
+            base += len(window)
+            windows.append(window)
+            at = to
         # most contexts repeat as a whole: all of their windows have one smallest document
-        count = index.size_of - length + 1
-        low = np.minimum.reduceat(window, index.begin)
-        high = np.full(len(ids), -1, np.int64)
-        np.maximum.at(high, owner, first_doc[cls])
         whole = high[of] < doc
-        out = [np.stack([doc[whole], th[whole], start[whole], start[whole] + index.size_of[of[whole]]], axis=1)]
-        for k in np.flatnonzero(~whole & (low[of] < doc)).tolist():
-            b = index.begin[of[k]]
-            hit = np.flatnonzero(window[b:b + count[of[k]]] < doc[k])
-            cut = np.flatnonzero(np.diff(hit) > 1) + 1
-            for run_ in np.split(hit, cut):
-                out.append(np.array([[doc[k], th[k], start[k] + run_[0], start[k] + run_[-1] + length]]))
-        return pd.DataFrame(np.concatenate(out), columns=["doc_id", "th", "begin", "stop"])
+        spans.append(np.stack([doc[whole], th[whole], start[whole], start[whole] + size[of[whole]]], axis=1))
+        some = np.flatnonzero(~whole & (low[of] < doc))
+        if len(some):
+            window = np.concatenate(windows)
+            count = size[of[some]] - length + 1
+            row = np.repeat(np.arange(len(some)), count)
+            step = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+            gone = window[slot[of[some]][row] + step] < doc[some][row]
+            row, step = row[gone], step[gone]
+            cut = np.flatnonzero((np.diff(row) != 0) | (np.diff(step) > 1)) + 1
+            a, b = np.concatenate([[0], cut]), np.append(cut, len(row)) - 1
+            at = some[row[a]]
+            spans.append(np.stack([doc[at], th[at], start[at] + step[a], start[at] + step[b] + length], axis=1))
+        return pd.DataFrame(np.concatenate(spans), columns=["doc_id", "th", "begin", "stop"])
     return run
 
 
@@ -324,7 +407,7 @@ def _spans(rows: DataFrame, length: int, gram: int, bucket_chars: int) -> DataFr
     wanted = shared.groupBy("doc_id").agg(F.collect_set("key").alias("keys"))
     contexts = rows.join(wanted, "doc_id").select("doc_id", "th", "text", "keys").mapInPandas(
         _contexts(length, gram, buckets), CONTEXTS)
-    marks = contexts.groupBy("bucket").applyInPandas(_marks(length), "doc_id long, th int, begin long, stop long")
+    marks = contexts.groupBy("bucket").applyInPandas(_marks(length, gram), "doc_id long, th int, begin long, stop long")
     # dealt before they are collected: as plain rows, not as a list for each mark
     return marks.repartition("doc_id").groupBy("doc_id").agg(F.collect_list(F.struct("th", "begin", "stop")).alias("spans"))
 

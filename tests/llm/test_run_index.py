@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from tandem.llm import run_index as ri
@@ -102,3 +103,54 @@ def test_sent_hashes_have_forty_bits_and_fill_all_buckets():
     assert not (key & np.uint64((1 << 24) - 1)).any()
     assert len(np.unique(key)) > 0.99 * len(key)
     assert len(np.unique((key >> ri.LOW) % np.uint64(64))) == 64
+
+
+def test_only_contexts_that_meet_others_are_indexed(monkeypatch):
+    """A passage that repeats as a whole needs no index; a bucket's others go to indexes of bounded size."""
+    from tandem.llm.run_index import RunIndex
+
+    r = random.Random(5)
+    text = lambda n: "".join(r.choice("abcdefghij ") for _ in range(n))
+    passages = [text(400) for _ in range(6)]
+    rows = [(d, text(60) + "".join(passages) + text(60)) for d in range(3)]
+    cut = "".join(passages)
+    rows += [(10 + k, cut[:k * 90 + 45] + "#" + cut[k * 90 + 46:]) for k in range(20)]
+    sizes = []
+    monkeypatch.setattr(ri, "RunIndex", lambda texts: sizes.append(sum(map(len, texts))) or RunIndex(texts))
+    pdf = pd.DataFrame(rows, columns=["doc_id", "text"]).assign(th=7)
+    keys = pd.concat(ri._keys(50, 16)(iter([pdf])))
+    both = keys.groupby("key")["doc_id"].nunique()
+    pdf["keys"] = [keys[(keys["doc_id"] == d) & keys["key"].isin(both.index[both > 1])]["key"].tolist() for d in pdf["doc_id"]]
+
+    def removed(some):
+        contexts = pd.concat(ri._contexts(50, 16, 1)(iter([some])))
+        marks = ri._marks(50, 16)(contexts)
+        out = []
+        for d, t in zip(some["doc_id"], some["text"], strict=True):
+            n, kept = ri._split(t.encode(), marks[marks["doc_id"] == d].to_dict("records"), 7)
+            out.append((d, len(t), len(t) - len(kept), n, kept))
+        return out
+
+    assert removed(pdf[:3]) == brute(rows[:3], 50)
+    assert sum(sizes) < 600 < len(cut)  # only what crosses the ends of the passages
+    del sizes[:]
+    want = brute(rows, 50)
+    assert removed(pdf) == want and len(sizes) == 1
+    monkeypatch.setattr(ri, "INDEX_BYTES", 1000)
+    del sizes[:]
+    assert removed(pdf) == want
+    assert len(sizes) > 3 and max(sizes) < 3000
+
+
+def test_anchors_of_long_texts_are_found_in_parts(monkeypatch):
+    data = np.frombuffer(("".join(random.Random(2).choice("abcd") for _ in range(3000))).encode() * 2, np.uint8)
+    ends = np.array([0, 700, 700, 5990, len(data)])
+    whole = ri.anchors(data, ends)
+    monkeypatch.setattr(ri, "PLACES", 256)
+    parts = ri.anchors(data, ends)
+
+    def named(found):  # the anchor and document of each window
+        return {w: (k, d) for k, f, e, d in zip(*(x.tolist() for x in found), strict=True) for w in range(f, e + 1)}
+
+    assert named(whole) == named(parts)
+    assert sorted(named(whole)) == [w for a, b in ((0, 700), (700, 5990)) for w in range(a, b - 49)]
