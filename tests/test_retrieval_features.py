@@ -168,3 +168,29 @@ def test_dataset_independent_of_shuffle_partitions(spark, likes, mapping, users)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert one == many and len(one) > 0
+
+
+def test_users_in_shares_give_the_same_rows(spark, monkeypatch):
+    """Merging and co-visitation scoring, share by share of the users, each written before the next is begun."""
+    from tandem.operators import similarity
+
+    rng = np.random.default_rng(11)
+    rows = [(u, int(i), t, 1) for u in range(40) for t, i in enumerate(rng.choice(60, 8, replace=False))]
+    likes = spark.createDataFrame([*rows, (None, 3, 1, 1)], "uid long, item_id long, timestamp long, is_organic int")
+    users = spark.createDataFrame([(u,) for u in [*range(45), 7, None]], "uid long")
+    written = []
+    real = similarity.materialise
+    monkeypatch.setattr(similarity, "materialise", lambda df: written.append(df.columns) or real(df))
+
+    def merged(pass_rows):
+        stage = RetrievalStage([GlobalPopularity(5), CoVisitation(10, 5)], pass_rows).fit_all(likes)
+        return sorted(map(str, stage.fetch_all(users, likes, 20).collect()))
+
+    want = merged(10**9)
+    assert sum("is_covisitation" in c for c in written) == 0
+    assert merged(500) == want and sum("is_covisitation" in c for c in written) == 4
+    table = CoVisitation(10, 5).fit(likes).similarity
+    del written[:]
+    one = sorted(similarity.covisitation_scores(likes, table, users, 5, 20).collect())
+    assert sorted(similarity.covisitation_scores(likes, table, users, 5, 20, pass_pairs=600).collect()) == one
+    assert sum(c == ["uid", "item_id", "score"] for c in written) == 4
